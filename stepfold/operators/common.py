@@ -39,6 +39,12 @@ def exclusive_prefix_sum(counts: DataFrame, group: Sequence[str], order: Sequenc
     return counts.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Number of range partitions for global orders: the session's shuffle
+    partition count (sized for the data on a cluster)."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
                  group: Sequence[str] = ()) -> DataFrame:
     """Dense 0-based position of every row in ``order`` (within ``group``),
@@ -53,7 +59,9 @@ def global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
     to be deterministic when a task is re-run.
     """
     keys = list(group) + list(order)
-    local = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # An explicit partition count keeps AQE from coalescing the range
+    # partitions differently in the two branches that read them.
+    local = (df.repartitionByRange(range_partitions(df), *keys).sortWithinPartitions(*keys)
              .withColumn("_mid", F.monotonically_increasing_id())
              .withColumn("_pid", F.shiftright("_mid", 33))
              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
