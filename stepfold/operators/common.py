@@ -45,6 +45,17 @@ def range_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def stable_input(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in the shared folder of
+    ``spark.checkpoint.dir`` (a temporary one is set only when unset, as in
+    tests). The range partitioner samples its input; reading a fixed,
+    checkpointed input makes the sampled bounds, and so every position, the
+    same in both branches of a global order and after a lost executor."""
+    from stepfold.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
                  group: Sequence[str] = ()) -> DataFrame:
     """Dense 0-based position of every row in ``order`` (within ``group``),
@@ -59,6 +70,7 @@ def global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
     to be deterministic when a task is re-run.
     """
     keys = list(group) + list(order)
+    df = stable_input(df)
     # An explicit partition count keeps AQE from coalescing the range
     # partitions differently in the two branches that read them.
     local = (df.repartitionByRange(range_partitions(df), *keys).sortWithinPartitions(*keys)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepfold.operators.common import exclusive_prefix_sum, global_index, range_partitions
+from stepfold.operators.common import exclusive_prefix_sum, global_index, range_partitions, stable_input
 
 # Fixed rules of the default splitter and tokenizer (ours; the trained
 # sentence model and subword vocabularies are external artefacts).
@@ -79,6 +79,7 @@ def global_prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str,
     prefix sum over the small partition table, then the running sum inside
     each partition."""
     keys = list(group) + list(order)
+    df = stable_input(df)
     local = df.repartitionByRange(range_partitions(df), *keys).withColumn("_pid", F.spark_partition_id())
     tot = local.groupBy("_pid", *group).agg(F.sum(value).alias("_t"))
     base = exclusive_prefix_sum(tot, group, ["_pid"], "_t", "_base").drop("_t")

@@ -24,10 +24,14 @@ def token_arrays(routes: DataFrame, token: str = "token_id", extra: tuple = ("se
                                              F.col("score").cast("double").alias("s")))).alias("x"))
 
 
-def _softmax(arr: Column, key: str) -> Column:
-    mx = F.array_max(F.transform(arr, lambda z: z[key]))
-    den = F.aggregate(arr, F.lit(0.0), lambda acc, z: acc + F.exp(z[key] - mx))
-    return F.transform(arr, lambda z: z.withField("p", F.exp(z[key] - mx) / den))
+def _softmax(df: DataFrame, arr: str, key: str, out: str) -> DataFrame:
+    """Softmax over ``key`` of the structs in column ``arr`` -> field ``p``.
+    Max and denominator are projected as columns first, so the lambdas see
+    plain attributes (no per-element recomputation of inlined arrays)."""
+    df = df.withColumn("_mx", F.array_max(F.transform(arr, lambda z: z[key])))
+    df = df.withColumn("_den", F.aggregate(arr, F.lit(0.0), lambda acc, z: acc + F.exp(z[key] - F.col("_mx"))))
+    return df.withColumn(out, F.transform(arr, lambda z: z.withField(
+        "p", F.exp(z[key] - F.col("_mx")) / F.col("_den")))).drop("_mx", "_den")
 
 
 def group_limited_topk(routes: DataFrame, topk: int, num_experts: int, num_groups: int | None = None,
@@ -44,15 +48,17 @@ def group_limited_topk(routes: DataFrame, topk: int, num_experts: int, num_group
       weights divided by their sum + 1e-20 when topk > 1;
     * optional scaling factor. Ties go to the lower group / expert id.
 
+    Every intermediate array is its own projected column, so each lambda
+    works on attributes and the per-token cost stays O(E log E).
     Output: (token_id, seq_id, expert_id, prob, slot).
     """
     t = token_arrays(routes)
-    x = F.col("x")
     if score_function == "softmax":
         if use_pre_softmax:
-            x = F.transform(_softmax(x, "s"), lambda z: z.withField("w", z["p"]).withField("r", z["p"]))
+            t = _softmax(t, "x", "s", "x")
+            t = t.withColumn("x", F.transform("x", lambda z: z.withField("w", z["p"]).withField("r", z["p"])))
         else:
-            x = F.transform(x, lambda z: z.withField("w", z["s"]).withField("r", z["s"]))
+            t = t.withColumn("x", F.transform("x", lambda z: z.withField("w", z["s"]).withField("r", z["s"])))
     elif score_function == "sigmoid":
         bias = expert_bias or {}
         bias_map = F.create_map(*[v for e, b in sorted(bias.items()) for v in (F.lit(e), F.lit(float(b)))]) \
@@ -62,32 +68,37 @@ def group_limited_topk(routes: DataFrame, topk: int, num_experts: int, num_group
             s = 1.0 / (1.0 + F.exp(-z["s"]))
             b = F.coalesce(F.element_at(bias_map, z["e"]), F.lit(0.0)) if bias_map is not None else F.lit(0.0)
             return z.withField("w", s).withField("r", s + b)
-        x = F.transform(x, sig)
+        t = t.withColumn("x", F.transform("x", sig))
     else:
         raise ValueError(f"Invalid score_function: {score_function}")
 
     if group_topk:
         gs = num_experts // num_groups
-        groups = F.transform(F.sequence(F.lit(0), F.lit(num_groups - 1)), lambda g: F.struct(
-            (F.aggregate(F.slice(F.array_sort(F.transform(
-                F.filter(x, lambda z: F.floor(z["e"] / gs) == g), lambda z: -z["r"])), 1, 2),
-                F.lit(0.0), lambda acc, v: acc + v)).alias("neg_score"),
-            g.alias("g")))
-        keep = F.transform(F.slice(F.array_sort(groups), 1, group_topk), lambda z: z["g"])
-        x = F.filter(x, lambda z: F.array_contains(keep, F.floor(z["e"] / gs).cast("int")))
-    ranked = F.array_sort(F.transform(x, lambda z: F.struct((-z["r"]).alias("k"), z["e"].alias("e"),
-                                                            z["w"].alias("w"))))
-    sel = F.slice(ranked, 1, topk)
+        t = t.withColumn("x", F.transform("x", lambda z: z.withField("g", F.floor(z["e"] / gs).cast("int"))))
+        # one expression per group (G is a model constant): no lambda captures
+        # an outer lambda variable, which keeps the evaluation linear
+        def in_group(g):
+            return lambda z: z["g"] == g
+        groups = F.array(*[F.struct(
+            F.aggregate(F.slice(F.array_sort(F.transform(F.filter("x", in_group(g)),
+                                                         lambda z: -z["r"])), 1, 2),
+                        F.lit(0.0), lambda acc, v: acc + v).alias("neg_score"),
+            F.lit(g).alias("g")) for g in range(num_groups)])
+        t = t.withColumn("_keep", F.transform(F.slice(F.array_sort(groups), 1, group_topk), lambda z: z["g"]))
+        t = t.withColumn("x", F.filter("x", lambda z: F.array_contains(F.col("_keep"), z["g"]))).drop("_keep")
+    t = t.withColumn("sel", F.slice(F.array_sort(F.transform(
+        "x", lambda z: F.struct((-z["r"]).alias("k"), z["e"].alias("e"), z["w"].alias("w")))), 1, topk))
     if score_function == "softmax" and not use_pre_softmax:
-        sel = _softmax(sel, "w")
+        t = _softmax(t, "sel", "w", "sel")
     elif score_function == "softmax":
-        sel = F.transform(sel, lambda z: z.withField("p", z["w"]))
+        t = t.withColumn("sel", F.transform("sel", lambda z: z.withField("p", z["w"])))
     else:
-        tot = F.aggregate(sel, F.lit(0.0), lambda acc, z: acc + z["w"])
-        sel = F.transform(sel, lambda z: z.withField("p", z["w"] / (tot + 1e-20) if topk > 1 else z["w"]))
+        t = t.withColumn("_tot", F.aggregate("sel", F.lit(0.0), lambda acc, z: acc + z["w"]))
+        t = t.withColumn("sel", F.transform("sel", lambda z: z.withField(
+            "p", z["w"] / (F.col("_tot") + 1e-20) if topk > 1 else z["w"])))
     if scaling_factor:
-        sel = F.transform(sel, lambda z: z.withField("p", z["p"] * scaling_factor))
-    return t.select("token_id", "seq_id", F.posexplode(sel).alias("slot", "z")).select(
+        t = t.withColumn("sel", F.transform("sel", lambda z: z.withField("p", z["p"] * scaling_factor)))
+    return t.select("token_id", "seq_id", F.posexplode("sel").alias("slot", "z")).select(
         "token_id", "seq_id", F.col("z.e").alias("expert_id"), F.col("z.p").alias("prob"),
         F.col("slot").cast("int").alias("slot"))
 
@@ -152,8 +163,8 @@ def tokens_per_expert(routes: DataFrame, selected: DataFrame, rate: float = 1e-3
 
 def routing_probs(routes: DataFrame) -> DataFrame:
     """Softmax over all experts per token, long form (token_id, seq_id, expert_id, p)."""
-    t = token_arrays(routes)
-    return t.select("token_id", "seq_id", F.explode(_softmax(F.col("x"), "s")).alias("z")).select(
+    t = _softmax(token_arrays(routes), "x", "s", "x")
+    return t.select("token_id", "seq_id", F.explode("x").alias("z")).select(
         "token_id", "seq_id", F.col("z.e").alias("expert_id"), F.col("z.p").alias("p"))
 
 

@@ -53,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting points at shared storage and is taken as is.
     Only when it is unset (local tests) a fresh folder is made for this run.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
         path = tempfile.mkdtemp(prefix="stepfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
