@@ -193,18 +193,32 @@ class Transducer:
         return b"".join(out)
 
 
+class Encoder:
+    """Encodes whole texts, word by word. ``encode_part`` gives the packed ids of a part of a text.
+
+    A space that follows a visible character and precedes one always begins a
+    new match of the pattern, so a text whose spaces are all single is cut there
+    and its words are looked up; other texts are encoded as one part."""
+
+    def __init__(self, encode_part: Callable[[str], bytes]):
+        self.encode_part, self._words, self._odd = encode_part, _Words(encode_part), re.compile(r" \s").search
+
+    def encode(self, text: str) -> bytes:
+        if self._odd(text):
+            return self.encode_part(text)
+        words = self._words
+        first, *rest = text.split(" ")
+        return words[first] + b"".join(map(words.__getitem__, map(" ".__add__, rest)))
+
+
 class _Words(dict):
     """Packed ids of words (a space and what follows it up to the next), worked out on first use."""
 
-    def __init__(self, transducer: Transducer, pattern: str):
-        self.transducer, self.split = transducer, regex.compile(pattern).findall
+    def __init__(self, encode_part: Callable[[str], bytes]):
+        self.encode_part = encode_part
 
     def __missing__(self, word: str) -> bytes:
-        encode = self.transducer.encode
-        if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-            packed = encode(word.encode())
-        else:
-            packed = b"".join([encode(p.encode()) for p in self.split(word)])
+        packed = self.encode_part(word)
         if len(word) <= LONGEST_REMEMBERED:
             if len(self) >= MAX_REMEMBERED:
                 self.clear()
@@ -212,28 +226,27 @@ class _Words(dict):
         return packed
 
 
-class Encoder:
-    """Splits whole texts by the vocabulary's pattern and encodes each match.
+def transducer_parts(transducer: Transducer, pattern: str) -> Callable[[str], bytes]:
+    """Splits a part by the pattern and encodes each match."""
+    split, encode = regex.compile(pattern).findall, transducer.encode
 
-    A space that follows a visible character and precedes one always begins a
-    new match, so a text whose spaces are all single is cut there first and the
-    words are looked up; other texts are split by the pattern as a whole."""
+    def encode_part(part: str) -> bytes:
+        if part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
+            return encode(part.encode())  # one match
+        return b"".join([encode(p.encode()) for p in split(part)])
 
-    def __init__(self, transducer: Transducer, pattern: str):
-        self._words, self._odd = _Words(transducer, pattern), re.compile(r" \s").search
-
-    def encode(self, text: str) -> bytes:
-        words = self._words
-        if self._odd(text):
-            return b"".join(map(words.__getitem__, words.split(text)))
-        first, *rest = text.split(" ")
-        return words[first] + b"".join(map(words.__getitem__, map(" ".__add__, rest)))
+    return encode_part
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
     """One encoder for each vocabulary in a Python worker."""
-    return Encoder(Transducer(load_ranks(path)), pattern)
+    return Encoder(transducer_parts(Transducer(load_ranks(path)), pattern))
+
+
+@lru_cache(maxsize=4)
+def _tokens(path: str) -> dict[int, bytes]:
+    return {rank: token for token, rank in load_ranks(path).items()}
 
 
 class Utf8Stream:
@@ -303,7 +316,7 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, pattern:
 def decode_ids(df: DataFrame, id_col: str, ids_col: str, path: str) -> DataFrame:
     """(id, text) of every array of ids; null ids give null text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {r: t for t, r in load_ranks(path).items()}.__getitem__
+        token = _tokens(path).__getitem__
         for batch in batches:
             out = [None if ids is None else "".join(decode(ids, token)) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["id", "text"])
@@ -317,7 +330,7 @@ def round_trip_digests(df: DataFrame, id_col: str, text_col: str, path: str, pat
     the transducer and its ids decoded again; digests keep the result narrow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        token = enc._words.transducer.bytes_of.__getitem__
+        token = _tokens(path).__getitem__
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
             for text in texts(batch.column(1)):

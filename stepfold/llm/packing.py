@@ -17,16 +17,18 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepfold.llm.bpe import Encoder, Transducer
+from stepfold.llm.bpe import Encoder
 from stepfold.llm.common import checkpointed, texts, type_of
 
 WINDOWS = 64
@@ -47,12 +49,16 @@ def _byte_signs() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def json_encoder(path: str, pattern: str) -> Encoder:
-    """The encoder of a byte-level BPE file of the tokenizers library. Its ids rise with the order of its merges."""
+    """The vocabulary of a byte-level BPE file of the tokenizers library, whose ids
+    rise with the order of its merges; the merging itself is tiktoken's, which
+    gives the same ids and is several times faster."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     special = {t["content"] for t in spec.get("added_tokens", [])}
     signs = _byte_signs()
-    return Encoder(Transducer({bytes(signs[s] for s in token): i for token, i in spec["model"]["vocab"].items() if token not in special}), pattern)
+    ranks = {bytes(signs[s] for s in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    ids_of = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return Encoder(lambda part: array("I", ids_of(part)).tobytes())
 
 
 class Packer:
