@@ -20,17 +20,6 @@ def first_k(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def last_by(value: Column, order: Column) -> Column:
-    """Value of the row with the highest ``order`` (partial aggregate, skew-safe)."""
-    return F.max_by(value, order)
-
-
-def round8(c: Column | str) -> Column:
-    """Comparison precision: past the exact decimals of the inputs, far above
-    double noise (see README, oracle rules)."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 8)
-
-
 def exclusive_prefix_sum(counts: DataFrame, group: Sequence[str], order: Sequence[str],
                          value: str, out: str) -> DataFrame:
     """Exclusive running sum of ``value`` over a *small* table (one row per
@@ -45,45 +34,64 @@ def range_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def stable_input(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in the shared folder of
-    ``spark.checkpoint.dir`` (a temporary one is set only when unset, as in
-    tests). The range partitioner samples its input; reading a fixed,
-    checkpointed input makes the sampled bounds, and so every position, the
-    same in both branches of a global order and after a lost executor."""
-    from stepfold.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+SAMPLED_KEYS = 64  # keys sampled per bucket to find the bucket ends
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Adds the number of the range of ``keys`` that a row falls in.
+
+    The ends of the ranges are literals, picked once from a bounded sample of
+    the keys (the same rows at every run), so the bucket is a pure function of
+    the key: every branch of a plan, and every re-run task, agrees on it.
+    A two-level search compares a key with about 2 sqrt(buckets) ends.
+    """
+    parts = range_partitions(df)
+    sample = (df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(SAMPLED_KEYS * parts)
+              .orderBy(*keys).collect())
+    picked = sorted({i * len(sample) // parts for i in range(1, parts)}) if sample else []
+    types = [df.schema[k].dataType for k in keys]
+    ends = [F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, sample[i], types)]) for i in picked]
+    if not ends:
+        return df.withColumn(out, F.lit(0))
+    step = max(1, round(len(ends) ** 0.5))
+    key = F.struct(*[F.col(k).alias(k) for k in keys])
+    fine = F.array(*[F.array(*ends[i:i + step]) for i in range(0, len(ends), step)])
+    df = df.withColumn("_coarse", F.size(F.filter(F.array(*ends[::step]), lambda e: e <= key)))
+    within = F.size(F.filter(F.element_at(fine, F.col("_coarse")), lambda e: e <= key))
+    return df.withColumn(out, F.when(F.col("_coarse") > 0, (F.col("_coarse") - 1) * step + within)
+                         .otherwise(0)).drop("_coarse")
+
+
+def global_running(df: DataFrame, order: Sequence[str], group: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """Exclusive running value of each aggregate in ``order`` (within ``group``): its
+    value over the row's own range up to the row plus the totals of the group's earlier ranges."""
+    bucketed = range_buckets(df, [*group, *order], "_bucket")
+    base = bucketed.groupBy(*group, "_bucket").agg(*[agg.alias(f"_t{i}") for i, agg in enumerate(sums.values())])
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = base.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_bucket").alias("_b"),
+                       *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_base{i}") for i in range(len(sums))])
+    same = F.col("_bucket") == F.col("_b")
+    for i, g in enumerate(group):  # null groups are groups too
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    w = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = bucketed.withColumns({f"_local{i}": F.coalesce(agg.over(w), F.lit(0)) for i, agg in enumerate(sums.values())})
+    helpers = ["_bucket", "_b", *[f"_g{i}" for i in range(len(group))],
+               *[f"{c}{i}" for i in range(len(sums)) for c in ("_base", "_local")]]
+    return local.join(base, same).withColumns(
+        {out: (F.col(f"_base{i}") + F.col(f"_local{i}")).cast("long") for i, out in enumerate(sums)}).drop(*helpers)
 
 
 def global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
                  group: Sequence[str] = ()) -> DataFrame:
     """Dense 0-based position of every row in ``order`` (within ``group``),
-    without pulling a group into one partition.
-
-    The rows are range-partitioned and sorted by (group, order); a hot group
-    is spread over many range partitions. ``monotonically_increasing_id``
-    then carries (partition id, record number in the partition). A count
-    table with one row per (partition, group) gets an exclusive prefix sum
-    over partitions; joined back, every row adds its offset inside its run
-    of the partition. ``order`` must be a total order (unique) for the result
-    to be deterministic when a task is re-run.
-    """
-    keys = list(group) + list(order)
-    df = stable_input(df)
-    # An explicit partition count keeps AQE from coalescing the range
-    # partitions differently in the two branches that read them.
-    local = (df.repartitionByRange(range_partitions(df), *keys).sortWithinPartitions(*keys)
-             .withColumn("_mid", F.monotonically_increasing_id())
-             .withColumn("_pid", F.shiftright("_mid", 33))
-             .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    counts = local.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"),
-                                               F.min("_pos").alias("_first"))
-    # Within a group, partitions are in pid order because of the range partitioning.
-    base = exclusive_prefix_sum(counts, group, ["_pid"], "_n", "_base").drop("_n")
-    # The count table has one row per (partition, group): bounded by the
-    # partition count times the groups present in a partition, far below the
-    # data; AQE still decides the join strategy from its measured size.
-    return (local.join(base, on=["_pid", *group])
-            .withColumn(out, (F.col("_base") + F.col("_pos") - F.col("_first")).cast("long"))
-            .drop("_mid", "_pid", "_pos", "_base", "_first"))
+    without pulling a group into one task: ranges of (group, order) are
+    numbered on their own and shifted by the counts of the ranges before.
+    ``order`` must be unique within a group."""
+    return global_running(df, order, group, {out: F.count(F.lit(1))})
+
+
+def global_prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str,
+                      group: Sequence[str] = ()) -> DataFrame:
+    """Exclusive running sum of ``value`` in ``order`` (within ``group``) over
+    the whole table, range by range as in ``global_index``."""
+    return global_running(df, order, group, {out: F.sum(value)})

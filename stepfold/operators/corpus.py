@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepfold.operators.common import exclusive_prefix_sum, global_index, range_partitions, stable_input
+from stepfold.operators.common import exclusive_prefix_sum, global_index, global_prefix_sum, global_running
 
 # Fixed rules of the default splitter and tokenizer (ours; the trained
 # sentence model and subword vocabularies are external artefacts).
@@ -48,15 +48,16 @@ def encode_documents(docs: DataFrame, vocab_size: int = 32000, append_eod: bool
     the EOD id and its last length + 1; an empty document stays empty."""
     per_sent = F.transform("sentences", lambda s: default_token_ids(
         F.regexp_extract_all(s, F.lit(TOKEN), 0), vocab_size, key_fn))
-    nonempty = F.filter(per_sent, lambda a: F.size(a) > 0)
-    toks = F.flatten(nonempty)
-    lens = F.transform(nonempty, lambda a: F.size(a))
-    n = F.size(lens)
+    # each step is a column of its own, so the tokens are found once
+    df = docs.withColumn("_kept", F.filter(per_sent, lambda a: F.size(a) > 0))
+    df = df.withColumn("_lens", F.transform("_kept", lambda a: F.size(a)))
+    n = F.size("_lens")
     eod = F.lit(append_eod) & (n > 0)
-    lens_eod = F.when(eod, F.transform(lens, lambda v, i: F.when(i == n - 1, v + 1).otherwise(v))).otherwise(lens)
-    toks_eod = F.when(eod, F.concat(toks, F.array(F.lit(EOD)))).otherwise(toks)
-    return docs.withColumn("tokens", toks_eod).withColumn("sentence_lens", lens_eod) \
-        .withColumn("n_tokens", F.size("tokens").cast("long"))
+    lens = F.when(eod, F.transform("_lens", lambda v, i: F.when(i == n - 1, v + 1).otherwise(v))).otherwise(F.col("_lens"))
+    total = F.aggregate("_lens", F.lit(0).cast("long"), lambda a, v: a + v)
+    return df.withColumn("n_tokens", total + F.when(eod, 1).otherwise(0)).withColumn("sentence_lens", lens).withColumn(
+        "tokens", F.concat(F.flatten("_kept"), F.when(eod, F.array(F.lit(EOD))).otherwise(F.array().cast("array<int>")))) \
+        .drop("_kept", "_lens")
 
 
 def tokenize_with(docs: DataFrame, encode_batch, text: str = "text") -> DataFrame:
@@ -72,24 +73,6 @@ def tokenize_with(docs: DataFrame, encode_batch, text: str = "text") -> DataFram
     return docs.withColumn("tokens", enc(F.col(text)))
 
 
-def global_prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str,
-                      group: Sequence[str] = ()) -> DataFrame:
-    """Exclusive running sum of ``value`` in ``order`` (within ``group``) over
-    the whole table: range partitioning, per-partition totals, exclusive
-    prefix sum over the small partition table, then the running sum inside
-    each partition."""
-    keys = list(group) + list(order)
-    df = stable_input(df)
-    local = df.repartitionByRange(range_partitions(df), *keys).withColumn("_pid", F.spark_partition_id())
-    tot = local.groupBy("_pid", *group).agg(F.sum(value).alias("_t"))
-    base = exclusive_prefix_sum(tot, group, ["_pid"], "_t", "_base").drop("_t")
-    w = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (local.withColumn("_run", F.coalesce(F.sum(value).over(w), F.lit(0)))
-            .join(base, ["_pid", *group])
-            .withColumn(out, (F.col("_base") + F.col("_run")).cast("long"))
-            .drop("_pid", "_run", "_base"))
-
-
 def partition_documents(docs: DataFrame, n: int, order: Sequence[str] = ("doc_id",)) -> DataFrame:
     """CRP3: shard of every document for n shards, round-robin (idx mod n) and
     sequential blocks of ceil(total / n)."""
@@ -100,25 +83,31 @@ def partition_documents(docs: DataFrame, n: int, order: Sequence[str] = ("doc_id
         .withColumn("shard_seq", F.floor(F.col("idx") / block).cast("int")).drop("_total")
 
 
-def corpus_stats(sharded: DataFrame, shard: str, interval: int, text: str = "text") -> DataFrame:
-    """CRP4: documents and MB per shard at every ``interval`` documents, with
-    cumulative values (window over the small bucket table)."""
-    pos = Window.partitionBy(shard).orderBy("idx")
-    b = (sharded.withColumn("_pos", F.row_number().over(pos) - 1)
-         .groupBy(shard, F.floor(F.col("_pos") / interval).alias("bucket"))
-         .agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length(text)).alias("bytes")))
-    cum = Window.partitionBy(shard).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    return b.select(shard, "bucket", "docs", "bytes", F.sum("docs").over(cum).alias("cum_docs"),
+def corpus_stats(indexed: DataFrame, n: int, interval: int, text: str = "text") -> DataFrame:
+    """CRP4: documents and MB per round-robin shard at every ``interval``
+    documents, with cumulative values. A document's place in its shard is
+    ``idx div n``; only its byte length leaves the scan."""
+    b = (indexed.select(F.pmod("idx", F.lit(n)).cast("int").alias("shard"),
+                        F.expr(f"(idx div {n}) div {interval}").alias("bucket"), F.octet_length(text).alias("_bytes"))
+         .groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("docs"), F.sum("_bytes").alias("bytes")))
+    cum = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    return b.select("shard", "bucket", "docs", "bytes", F.sum("docs").over(cum).alias("cum_docs"),
                     (F.sum("bytes").over(cum) / 1048576.0).alias("cum_mb"))
 
 
-def merge_shards(encoded: DataFrame, shard: str) -> DataFrame:
-    """CRP5: shards concatenated in order; document, sentence and token
-    offsets of every shard re-based by exclusive prefix sums over the shard table."""
-    per = encoded.groupBy(shard).agg(F.count(F.lit(1)).alias("docs"),
+def merge_shards(encoded: DataFrame, shard: str, order: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """CRP5: shards concatenated in order; every document with its re-based
+    document index and its first sentence and token in the merged corpus."""
+    sizes = encoded.withColumn("n_sentences", F.size("sentence_lens").cast("long")).drop("tokens", "sentence_lens")
+    return global_running(sizes, [shard, *order], [], {
+        "doc_index": F.count(F.lit(1)), "sentence_offset": F.sum("n_sentences"), "token_offset": F.sum("n_tokens")})
+
+
+def shard_totals(encoded: DataFrame, shard: str) -> DataFrame:
+    """CRP5: documents, sentences and tokens of each shard and their offsets in the merged corpus."""
+    out = encoded.groupBy(shard).agg(F.count(F.lit(1)).alias("docs"),
                                      F.sum(F.size("sentence_lens")).alias("sentences"),
                                      F.sum("n_tokens").alias("tokens"))
-    out = per
     for c in ("docs", "sentences", "tokens"):
         out = exclusive_prefix_sum(out, [], [shard], c, f"{c}_offset")
     return out
@@ -171,18 +160,20 @@ def fixed_length_samples(encoded: DataFrame, seq_len: int, order_key: Column, ep
     Output: (sample_id, tokens, doc_ids) with one doc id per token.
     """
     docs = encoded.filter(F.col("n_tokens") > 0).withColumn("_ok", order_key).withColumn("epoch", F.lit(epoch))
-    off = global_prefix_sum(docs, ["_ok", "doc_id"], "n_tokens", "offset")
+    off = global_prefix_sum(docs.select("doc_id", "_ok", "n_tokens", "tokens"), ["_ok", "doc_id"], "n_tokens", "offset")
     first = F.floor(F.greatest(F.col("offset") - 1, F.lit(0)) / seq_len).cast("long")
     last = F.floor((F.col("offset") + F.col("n_tokens") - 1) / seq_len).cast("long")
-    pieces = off.select("doc_id", "tokens", "offset", "n_tokens",
-                        F.explode(F.sequence(first, last)).alias("sample_id"))
-    s0 = F.col("sample_id") * seq_len
-    lo = F.greatest(s0, F.col("offset"))
-    hi = F.least(s0 + seq_len + 1, F.col("offset") + F.col("n_tokens"))
-    pieces = pieces.filter(hi > lo).select(
-        "sample_id", lo.alias("start"), "doc_id",
-        F.slice("tokens", (lo - F.col("offset") + 1).cast("int"), (hi - lo).cast("int")).alias("piece"))
-    total = off.agg(F.sum("n_tokens").alias("_total"))
+
+    def piece(sample):
+        lo = F.greatest(sample * seq_len, F.col("offset"))
+        hi = F.least(sample * seq_len + seq_len + 1, F.col("offset") + F.col("n_tokens"))
+        tokens = F.slice("tokens", (lo - F.col("offset") + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int"))
+        return F.struct(sample.alias("sample_id"), lo.alias("start"), tokens.alias("piece"))
+
+    # cut in the row: only pieces are exploded, never a document's whole token array
+    pieces = off.select("doc_id", F.explode(F.transform(F.sequence(first, last), piece)).alias("z")) \
+        .select("z.sample_id", "z.start", "z.piece", "doc_id").filter(F.size("piece") > 0)
+    total = docs.agg(F.sum("n_tokens").alias("_total"))
     # a sample exists when it has at least one label token (seq_len + 1 tokens overall)
     grouped = pieces.groupBy("sample_id").agg(
         F.sort_array(F.collect_list(F.struct("start", "piece", "doc_id"))).alias("_p"))
@@ -194,19 +185,16 @@ def fixed_length_samples(encoded: DataFrame, seq_len: int, order_key: Column, ep
 
 
 def sample_masks(samples: DataFrame, eod: int = EOD) -> DataFrame:
-    """CRP10: per token of every sample the loss mask (0 at EOD), position ids
-    restarting after each EOD, and a segment (document) number.
-
-    Long output (sample_id, i, token, loss_mask, position_id, segment_id):
-    windows are partitioned by sample, so each holds at most seq_len + 1 rows.
-    """
-    t = samples.select("sample_id", F.posexplode("tokens").alias("i", "token"))
-    before = Window.partitionBy("sample_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    is_eod = (F.col("token") == eod).cast("int")
-    last_eod = F.max(F.when(F.col("token") == eod, F.col("i"))).over(before)
-    return t.select("sample_id", "i", "token", (1 - is_eod).alias("loss_mask"),
-                    (F.col("i") - F.coalesce(last_eod + 1, F.lit(0))).alias("position_id"),
-                    F.coalesce(F.sum(is_eod).over(before), F.lit(0)).alias("segment_id"))
+    """CRP10: per sample, arrays over its tokens of the loss mask (0 at EOD),
+    position ids restarting after each EOD, and segment (document) numbers.
+    A sample is a bounded row, so nothing is shuffled."""
+    df = samples.withColumn("_ends", F.filter(F.transform("tokens", lambda t, i: F.when(t == eod, i)),
+                                              lambda i: i.isNotNull()))
+    before = lambda i: F.filter("_ends", lambda e: e < i)
+    return df.select(
+        "sample_id", "tokens", F.transform("tokens", lambda t: (t != eod).cast("int")).alias("loss_mask"),
+        F.transform("tokens", lambda t, i: i - F.coalesce(F.array_max(before(i)) + 1, F.lit(0))).alias("position_ids"),
+        F.transform("tokens", lambda t, i: F.size(before(i))).alias("segment_ids"))
 
 
 def shard_completeness(listing: DataFrame, n: int, fmt: str, name: str = "name") -> DataFrame:

@@ -2,36 +2,23 @@
 
 A routing table is long: (token_id, seq_id, expert_id, score) with one row
 per token and expert (the dense [tokens, experts] logits). Per-token work
-(group-limited top-k, softmax) runs on a bounded array per token (its length
-is the expert count, a model constant) with array higher-order functions;
-per-expert work (capacity, permutation) ranks rows with the range-partitioned
-``global_index``, so a hot expert never sits in one task.
+(group-limited top-k, softmax) runs as windows over the rows of a token, all
+on one exchange by token; per-expert work (capacity, permutation) ranks rows
+with the range-bucketed ``global_index``, so a hot expert never sits in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stepfold.operators.common import global_index
 
 
-def token_arrays(routes: DataFrame, token: str = "token_id", extra: tuple = ("seq_id",)) -> DataFrame:
-    """Long (token, expert, score) -> one row per token with its experts'
-    scores as an array sorted by expert id (bounded by the expert count)."""
-    return routes.groupBy(token, *extra).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("expert_id").alias("e"),
-                                             F.col("score").cast("double").alias("s")))).alias("x"))
-
-
-def _softmax(df: DataFrame, arr: str, key: str, out: str) -> DataFrame:
-    """Softmax over ``key`` of the structs in column ``arr`` -> field ``p``.
-    Max and denominator are projected as columns first, so the lambdas see
-    plain attributes (no per-element recomputation of inlined arrays)."""
-    df = df.withColumn("_mx", F.array_max(F.transform(arr, lambda z: z[key])))
-    df = df.withColumn("_den", F.aggregate(arr, F.lit(0.0), lambda acc, z: acc + F.exp(z[key] - F.col("_mx"))))
-    return df.withColumn(out, F.transform(arr, lambda z: z.withField(
-        "p", F.exp(z[key] - F.col("_mx")) / F.col("_den")))).drop("_mx", "_den")
+def _softmax(value: str, over) -> Column:
+    """Softmax of a column over a window, shifted by the maximum."""
+    e = F.exp(F.col(value) - F.max(value).over(over))
+    return e / F.sum(e).over(over)
 
 
 def group_limited_topk(routes: DataFrame, topk: int, num_experts: int, num_groups: int | None = None,
@@ -48,59 +35,39 @@ def group_limited_topk(routes: DataFrame, topk: int, num_experts: int, num_group
       weights divided by their sum + 1e-20 when topk > 1;
     * optional scaling factor. Ties go to the lower group / expert id.
 
-    Every intermediate array is its own projected column, so each lambda
-    works on attributes and the per-token cost stays O(E log E).
     Output: (token_id, seq_id, expert_id, prob, slot).
     """
-    t = token_arrays(routes)
+    token = Window.partitionBy("token_id")
+    t = routes.select("token_id", "seq_id", "expert_id", F.col("score").cast("double").alias("w")).repartition("token_id")
     if score_function == "softmax":
         if use_pre_softmax:
-            t = _softmax(t, "x", "s", "x")
-            t = t.withColumn("x", F.transform("x", lambda z: z.withField("w", z["p"]).withField("r", z["p"])))
-        else:
-            t = t.withColumn("x", F.transform("x", lambda z: z.withField("w", z["s"]).withField("r", z["s"])))
+            t = t.withColumn("w", _softmax("w", token))
+        t = t.withColumn("r", F.col("w"))
     elif score_function == "sigmoid":
-        bias = expert_bias or {}
-        bias_map = F.create_map(*[v for e, b in sorted(bias.items()) for v in (F.lit(e), F.lit(float(b)))]) \
-            if bias else None
-
-        def sig(z):
-            s = 1.0 / (1.0 + F.exp(-z["s"]))
-            b = F.coalesce(F.element_at(bias_map, z["e"]), F.lit(0.0)) if bias_map is not None else F.lit(0.0)
-            return z.withField("w", s).withField("r", s + b)
-        t = t.withColumn("x", F.transform("x", sig))
+        bias = F.lit(0.0)
+        for e, b in sorted((expert_bias or {}).items()):
+            bias = F.when(F.col("expert_id") == e, float(b)).otherwise(bias)
+        t = t.withColumn("w", 1.0 / (1.0 + F.exp(-F.col("w")))).withColumn("r", F.col("w") + bias)
     else:
         raise ValueError(f"Invalid score_function: {score_function}")
-
     if group_topk:
-        gs = num_experts // num_groups
-        t = t.withColumn("x", F.transform("x", lambda z: z.withField("g", F.floor(z["e"] / gs).cast("int"))))
-        # one expression per group (G is a model constant): no lambda captures
-        # an outer lambda variable, which keeps the evaluation linear
-        def in_group(g):
-            return lambda z: z["g"] == g
-        groups = F.array(*[F.struct(
-            F.aggregate(F.slice(F.array_sort(F.transform(F.filter("x", in_group(g)),
-                                                         lambda z: -z["r"])), 1, 2),
-                        F.lit(0.0), lambda acc, v: acc + v).alias("neg_score"),
-            F.lit(g).alias("g")) for g in range(num_groups)])
-        t = t.withColumn("_keep", F.transform(F.slice(F.array_sort(groups), 1, group_topk), lambda z: z["g"]))
-        t = t.withColumn("x", F.filter("x", lambda z: F.array_contains(F.col("_keep"), z["g"]))).drop("_keep")
-    t = t.withColumn("sel", F.slice(F.array_sort(F.transform(
-        "x", lambda z: F.struct((-z["r"]).alias("k"), z["e"].alias("e"), z["w"].alias("w")))), 1, topk))
+        t = t.withColumn("g", F.floor(F.col("expert_id") / (num_experts // num_groups)).cast("int"))
+        group = Window.partitionBy("token_id", "g")
+        t = t.withColumn("_in", F.row_number().over(group.orderBy(F.col("r").desc(), "expert_id")))
+        t = t.withColumn("_gs", F.sum(F.when(F.col("_in") <= 2, F.col("r"))).over(group))
+        t = t.withColumn("_gr", F.dense_rank().over(token.orderBy(F.col("_gs").desc(), "g"))) \
+            .filter(F.col("_gr") <= group_topk)
+    t = t.withColumn("slot", F.row_number().over(token.orderBy(F.col("r").desc(), "expert_id")) - 1) \
+        .filter(F.col("slot") < topk)
     if score_function == "softmax" and not use_pre_softmax:
-        t = _softmax(t, "sel", "w", "sel")
-    elif score_function == "softmax":
-        t = t.withColumn("sel", F.transform("sel", lambda z: z.withField("p", z["w"])))
+        t = t.withColumn("prob", _softmax("w", token))
+    elif score_function == "sigmoid" and topk > 1:
+        t = t.withColumn("prob", F.col("w") / (F.sum("w").over(token) + 1e-20))
     else:
-        t = t.withColumn("_tot", F.aggregate("sel", F.lit(0.0), lambda acc, z: acc + z["w"]))
-        t = t.withColumn("sel", F.transform("sel", lambda z: z.withField(
-            "p", z["w"] / (F.col("_tot") + 1e-20) if topk > 1 else z["w"])))
+        t = t.withColumn("prob", F.col("w"))
     if scaling_factor:
-        t = t.withColumn("sel", F.transform("sel", lambda z: z.withField("p", z["p"] * scaling_factor)))
-    return t.select("token_id", "seq_id", F.posexplode("sel").alias("slot", "z")).select(
-        "token_id", "seq_id", F.col("z.e").alias("expert_id"), F.col("z.p").alias("prob"),
-        F.col("slot").cast("int").alias("slot"))
+        t = t.withColumn("prob", F.col("prob") * scaling_factor)
+    return t.select("token_id", "seq_id", "expert_id", "prob", F.col("slot").cast("int").alias("slot"))
 
 
 def capacity(num_tokens: Column, topk: int, num_experts: int, capacity_factor: float) -> Column:
@@ -116,7 +83,7 @@ def capacity_drop(routes: DataFrame, selected: DataFrame, topk: int, num_experts
     With ``pad_to_capacity`` every expert gets exactly ``capacity`` rows:
     tokens not routed to it follow with weight 0 in token order (they are
     the other rows of the dense routing table, so no cross product is built).
-    Ranks per expert come from ``global_index`` (range-partitioned).
+    Ranks per expert come from ``global_index`` (range-bucketed).
     """
     n_tokens = routes.select(F.countDistinct("token_id").alias("n"))
     cand = routes.select("token_id", "expert_id").join(
@@ -163,9 +130,8 @@ def tokens_per_expert(routes: DataFrame, selected: DataFrame, rate: float = 1e-3
 
 def routing_probs(routes: DataFrame) -> DataFrame:
     """Softmax over all experts per token, long form (token_id, seq_id, expert_id, p)."""
-    t = _softmax(token_arrays(routes), "x", "s", "x")
-    return t.select("token_id", "seq_id", F.explode("x").alias("z")).select(
-        "token_id", "seq_id", F.col("z.e").alias("expert_id"), F.col("z.p").alias("p"))
+    t = routes.select("token_id", "seq_id", "expert_id", F.col("score").cast("double").alias("score"))
+    return t.select("token_id", "seq_id", "expert_id", _softmax("score", Window.partitionBy("token_id")).alias("p"))
 
 
 def load_balance_loss(routes: DataFrame, selected: DataFrame, topk: int, coeff: float) -> DataFrame:
@@ -174,7 +140,8 @@ def load_balance_loss(routes: DataFrame, selected: DataFrame, topk: int, coeff:
     load = selected.groupBy("expert_id").agg(F.count(F.lit(1)).alias("load"))
     dims = routes.agg(F.countDistinct("token_id").alias("n"), F.countDistinct("expert_id").alias("E"))
     s = p.join(load, "expert_id", "left").agg(F.sum(F.col("p_sum") * F.coalesce(F.col("load"), F.lit(0))).alias("s"))
-    return s.crossJoin(dims).select(
+    return s.crossJoin(F.broadcast(dims)).select(  # one-row table
+       
         (F.col("s") * F.col("E") * coeff / (F.col("n") * F.col("n") * topk)).alias("aux_loss"))
 
 
@@ -186,7 +153,8 @@ def sequence_balance_loss(routes: DataFrame, selected: DataFrame, topk: int, coe
     per = p.groupBy("seq_id", "expert_id").agg(F.avg("p").alias("p_mean"))
     cnt = selected.groupBy("seq_id", "expert_id").agg(F.count(F.lit(1)).alias("c"))
     L = routes.groupBy("seq_id").agg(F.countDistinct("token_id").alias("L"))
-    s = (per.join(cnt, ["seq_id", "expert_id"], "left").join(L, "seq_id").crossJoin(E)
+    s = (per.join(cnt, ["seq_id", "expert_id"], "left").join(L, "seq_id").crossJoin(F.broadcast(E))  # one-row table
+        
          .groupBy("seq_id")
          .agg(F.sum(F.coalesce(F.col("c"), F.lit(0)) / (F.col("L") * topk / F.col("E")) * F.col("p_mean"))
               .alias("seq_loss")))

@@ -49,8 +49,9 @@ def _samples(spark, sf_dir):
     return C.fixed_length_samples(_encoded(spark, sf_dir), SEQ_LEN, order_key())
 
 
-SENT = C.SENTENCE.replace("'", "''")
-TOK = C.TOKEN.replace("'", "''")
+# typed out on their own, so that a wrong pattern of the implementation shows
+SENT = r"[^\s][^.!?]*(?:[.!?]+[^\s.!?][^.!?]*)*[.!?]*"
+TOK = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\s]"
 DOCS = f"""docs AS (
   SELECT doc_id, 'text' AS key, text FROM documents
   UNION ALL SELECT page_id + {PAGE_BASE}, 'html', html FROM pages),
@@ -103,11 +104,22 @@ SELECT shard, bucket, docs, bytes,
        round(sum(bytes) OVER (PARTITION BY shard ORDER BY bucket) / 1048576.0, 8) AS cum_mb
 FROM g""")
 def q_corpus_stats(spark, sf_dir):
-    sh = C.partition_documents(v_docs(spark, sf_dir), N_SHARDS)
-    return C.corpus_stats(sh, "shard_rr", 50).withColumnRenamed("shard_rr", "shard")
+    return C.corpus_stats(C.partition_documents(v_docs(spark, sf_dir), N_SHARDS), N_SHARDS, 50)
 
 
 @register("merge_shards", f"""WITH {DOCS}, ix AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY doc_id) - 1) % {N_SHARDS} AS INTEGER) AS shard FROM encd)
+SELECT doc_id, shard, row_number() OVER (ORDER BY shard, doc_id) - 1 AS doc_index,
+       CAST(coalesce(sum(len(sents)) OVER w, 0) AS BIGINT) AS sentence_offset,
+       CAST(coalesce(sum(len(toks)) OVER w, 0) AS BIGINT) AS token_offset
+FROM ix WINDOW w AS (ORDER BY shard, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def q_merge_shards(spark, sf_dir):
+    enc = _encoded(spark, sf_dir).select("doc_id", "tokens", "sentence_lens", "n_tokens")
+    sh = C.partition_documents(enc, N_SHARDS).withColumnRenamed("shard_rr", "shard")
+    return C.merge_shards(sh, "shard").select("doc_id", "shard", "doc_index", "sentence_offset", "token_offset")
+
+
+@register("shard_totals", f"""WITH {DOCS}, ix AS (
   SELECT *, CAST((row_number() OVER (ORDER BY doc_id) - 1) % {N_SHARDS} AS INTEGER) AS shard FROM encd),
 p AS (SELECT shard, count(*) AS docs, CAST(sum(len(sents)) AS BIGINT) AS sentences, CAST(sum(len(toks)) AS BIGINT) AS tokens
       FROM ix GROUP BY shard)
@@ -116,10 +128,10 @@ SELECT shard, docs, sentences, tokens,
        CAST(coalesce(sum(sentences) OVER w, 0) AS BIGINT) AS sentences_offset,
        CAST(coalesce(sum(tokens) OVER w, 0) AS BIGINT) AS tokens_offset
 FROM p WINDOW w AS (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
-def q_merge_shards(spark, sf_dir):
+def q_shard_totals(spark, sf_dir):
     enc = _encoded(spark, sf_dir)
     sh = C.partition_documents(enc, N_SHARDS).withColumnRenamed("shard_rr", "shard")
-    return C.merge_shards(sh, "shard").select("shard", "docs", F.col("sentences").cast("long").alias("sentences"),
+    return C.shard_totals(sh, "shard").select("shard", "docs", F.col("sentences").cast("long").alias("sentences"),
                                               "tokens", "docs_offset", "sentences_offset", "tokens_offset")
 
 
@@ -180,9 +192,10 @@ SELECT CAST(sample_id AS BIGINT) AS sample_id, CAST(sum(CASE WHEN t = 0 THEN 0 E
 FROM m GROUP BY sample_id""")
 def q_sample_masks(spark, sf_dir):
     m = C.sample_masks(_samples(spark, sf_dir))
-    return m.groupBy("sample_id").agg(F.sum("loss_mask").cast("long").alias("n_loss"),
-                                      F.max("position_id").cast("long").alias("max_position"),
-                                      F.max("segment_id").cast("long").alias("max_segment"))
+    total = F.aggregate("loss_mask", F.lit(0), lambda a, x: a + x)
+    return m.select("sample_id", total.cast("long").alias("n_loss"),
+                    F.array_max("position_ids").cast("long").alias("max_position"),
+                    F.array_max("segment_ids").cast("long").alias("max_segment"))
 
 
 SHARD_FMT = "c4-train.%05d-of-01024.json.gz"
