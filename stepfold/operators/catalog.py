@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 FAMILY_RULES = [("moe_proxy", "MoE_Proxy"), ("moe_", "MoE_Proxy"), ("mixtral", "Mixtral"), ("llama", "LLaMA"),
                 ("deepseek", "DeepSeek"), ("qwen", "Qwen"), ("grok", "Grok"), ("gpt", "GPT")]
 FAMILY_COLUMNS = ["LLaMA", "DeepSeek", "Qwen", "Mixtral", "MoE_Proxy", "Grok", "GPT"]
-CATALOG_EXCLUDE = ["primus_megatron_model.yaml"]
 BENCH_BINARY = "hipblaslt-bench"
 BENCH_PATH = "/opt/rocm/bin/hipblaslt-bench"
 ROTATING_BUFFER, RUN_NUMS, REQUESTED_SOLUTION, SKIP_LOW_SOLUTION = 512, 20, -1, 0.7
@@ -45,8 +44,7 @@ def log_name_dims(names: DataFrame, name: str = "name") -> DataFrame:
         .filter(F.col("framework").isNotNull() & (F.col("model") != ""))
 
 
-def model_catalog(paths: DataFrame, root: str, exclude: Sequence[str] = tuple(CATALOG_EXCLUDE),
-                  path: str = "path") -> DataFrame:
+def model_catalog(paths: DataFrame, root: str, exclude: Sequence[str], path: str = "path") -> DataFrame:
     """SRC10: config files below ``root`` (``*.yaml``), minus ``*_base``,
     ``*-fp8`` and the deny list (left anti join); framework = first path part."""
     rel = F.regexp_replace(F.col(path), "^" + root.rstrip("/") + "/", "")

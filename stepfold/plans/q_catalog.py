@@ -51,12 +51,14 @@ def v_run_names(spark, sf_dir):
                                    (300 + 25 * (F.col("p_size") % 3)).cast("int"),
                                    F.element_at(_arr(["BF16", "fp8", "run"]), (F.col("p_size") % 3 + 1).cast("int"))))
         .alias("name"),
-        F.format_string("models/%s/%s", fw, F.when(k % 97 == 0, F.lit("primus_megatron_model.yaml")).otherwise(
+        F.format_string("models/%s/%s", fw, F.when(k % 97 == 0, F.lit("shared_model.yaml")).otherwise(
             F.concat(stem, F.lit("_"), F.col("p_size").cast("string"),
                      F.element_at(_arr(["_base", "-fp8", "", "", ""]), (F.col("p_size") % 5 + 1).cast("int")),
                      F.lit(".yaml")))).alias("config_path"))
 
 
+DENIED = ["shared_model.yaml"]
+
 RUN = f"""rn AS (
   SELECT p_partkey AS k, p_size, {_sql_list(STEMS)}[p_partkey % 10 + 1] AS stem,
          {_sql_list(FRAMEWORKS)}[p_partkey % 3 + 1] AS framework,
@@ -90,7 +92,7 @@ CATALOG = RUN + """, cat AS (
 
 @register("model_catalog", f"""WITH {CATALOG} SELECT framework, name FROM cat""")
 def q_model_catalog(spark, sf_dir):
-    return K.model_catalog(v_run_names(spark, sf_dir).select(F.col("config_path").alias("path")), "models")
+    return K.model_catalog(v_run_names(spark, sf_dir).select(F.col("config_path").alias("path")), "models", DENIED)
 
 
 FAMILY_SQL = "CASE " + " ".join(f"WHEN starts_with(name, '{p}') THEN '{f}'" for p, f in K.FAMILY_RULES) + " END"
@@ -100,7 +102,7 @@ FAMILY_SQL = "CASE " + " ".join(f"WHEN starts_with(name, '{p}') THEN '{f}'" for
 SELECT framework, name, {FAMILY_SQL} AS family FROM cat WHERE {FAMILY_SQL} IS NOT NULL""")
 def q_model_family(spark, sf_dir):
     return K.model_family(K.model_catalog(v_run_names(spark, sf_dir).select(F.col("config_path").alias("path")),
-                                          "models"))
+                                          "models", DENIED))
 
 
 @register("family_pivot", f"""WITH {CATALOG}, f AS (SELECT framework, {FAMILY_SQL} AS family FROM cat)
@@ -108,7 +110,7 @@ SELECT framework, {", ".join(f"count(*) FILTER (WHERE family = '{c}') AS {c}" fo
        count(*) FILTER (WHERE family IS NOT NULL) AS Total
 FROM f GROUP BY framework HAVING count(*) FILTER (WHERE family IS NOT NULL) > 0""")
 def q_family_pivot(spark, sf_dir):
-    cat = K.model_catalog(v_run_names(spark, sf_dir).select(F.col("config_path").alias("path")), "models")
+    cat = K.model_catalog(v_run_names(spark, sf_dir).select(F.col("config_path").alias("path")), "models", DENIED)
     return K.family_pivot(K.model_family(cat))
 
 

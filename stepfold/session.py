@@ -32,19 +32,24 @@ DEFAULT_CONF = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "stepfold", extra: dict | None = None) -> SparkSession:
+    """A session with the defaults above. Under spark-submit the platform's master,
+    memory and partition count stay as they are unless given here."""
     cpus = os.environ.get("BENCH_CPUS", "8")
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf["spark.driver.memory"] = os.environ.get("STEPFOLD_DRIVER_MEMORY", "16g")
+    if master or not submitted:
+        builder = builder.master(master or f"local[{cpus}]")
+    if shuffle_partitions or not submitted:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    if not submitted:
+        conf["spark.driver.memory"] = os.environ.get("STEPFOLD_DRIVER_MEMORY", "16g")
     if extra:
         conf.update(extra)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 

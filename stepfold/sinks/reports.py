@@ -24,13 +24,16 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", append: bool = Fals
 
 
 def to_markdown(df: DataFrame, max_rows: int = 1000, preamble: str | None = None) -> str:
-    """SNK1 Markdown: bounded rendering of an already aggregated frame
-    (``limit`` + ``toLocalIterator``); never used on a raw table."""
+    """SNK1 Markdown: rendering of an already aggregated frame on the driver. A
+    frame over ``max_rows`` is refused, never cut; ``write_report`` writes those."""
     cols = df.columns
     lines = [preamble, ""] if preamble else []
     lines.append("| " + " | ".join(cols) + " |")
     lines.append("|" + "|".join("---" for _ in cols) + "|")
-    for r in df.limit(max_rows).toLocalIterator():
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"report has more than {max_rows} rows; use write_report")
+    for r in rows:
         lines.append("| " + " | ".join("" if v is None else str(v) for v in r) + " |")
     return "\n".join(lines) + "\n"
 

@@ -5,31 +5,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def read_log_lines(spark: SparkSession, path: str, recursive: bool = True, whole_files: bool = True,
-                   glob: str | None = None) -> DataFrame:
-    """SRC1: log files as ordered lines (path, line_no, line).
+def read_log_lines(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
+    """SRC1: log files as ordered lines (path, line_no, line), line_no from 0.
 
-    The logger rotates files at 10 MB, so a file is read whole
-    (``wholetext``; one task per file) and split with ``posexplode``, which
-    gives exact line numbers. ``whole_files=False`` reads line by line for
-    unbounded files; the order key is then (file, block start,
-    monotonically_increasing_id). Undecodable bytes become U+FFFD.
+    Files are read in blocks, so a log of any size is split over tasks. A line
+    is numbered inside its block, and blocks are shifted by the line counts of
+    the blocks before them in the file.
     """
-    r = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    r = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("lineSep", "\n")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    if whole_files:
-        df = r.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-        return df.select("path", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n"))
-                         .alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
-    df = r.text(path).select(F.col("_metadata.file_path").alias("path"),
-                             F.col("_metadata.file_block_start").alias("_blk"), "value",
-                             F.monotonically_increasing_id().alias("_id"))
-    return df.select("path", F.col("_id").alias("line_no"), F.col("value").alias("line"))
+    lines = r.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+                                F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"))
+    counts = lines.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("path", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = F.row_number().over(Window.partitionBy("path", "_block").orderBy("_at")) - 1
+    return (lines.withColumn("_within", within).join(base, ["path", "_block"])
+            .select("path", (F.col("_base") + F.col("_within")).cast("long").alias("line_no"), "line"))
 
 
 def read_corpus_jsonl(spark: SparkSession, paths: str | Sequence[str], keys: Sequence[str] = ("text",),
@@ -37,22 +34,19 @@ def read_corpus_jsonl(spark: SparkSession, paths: str | Sequence[str], keys: Seq
     """SRC5: JSONL (plain or gzip) with an explicit schema of the chosen keys
     (column pruning); a value may be a string or a list of sentences.
     Output (path, doc_id, key, text, sentences)."""
-    from pyspark.sql.types import StringType, StructField, StructType
-    fields = [StructField(k, StringType()) for k in keys]
-    if id_col:
-        fields.append(StructField(id_col, StringType()))
-    df = spark.read.schema(StructType(fields)).json(paths)
+    fields = [f"`{k}` variant" for k in keys] + ([f"`{id_col}` string"] if id_col else [])
+    df = spark.read.schema(", ".join(fields)).json(paths)
     df = df.withColumn("path", F.col("_metadata.file_path"))
     doc = F.col(id_col).cast("long") if id_col else F.xxhash64("path", F.monotonically_increasing_id())
-    long = df.select("path", doc.alias("doc_id"),
-                     F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                                                 F.array(*[F.col(k) for k in keys]))).alias("key", "raw"))
-    # a list value arrives as its JSON text; parse it into sentences
-    is_list = F.col("raw").startswith("[")
-    sents = F.from_json("raw", "array<string>")
+    values = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in keys])
+    long = df.select("path", doc.alias("doc_id"), F.explode(values).alias("z")).select("path", "doc_id", "z.*")
+    # the JSON type of the value decides, never its first character
+    is_list = F.coalesce(F.schema_of_variant("value").startswith("ARRAY"), F.lit(False))
+    sents = F.try_variant_get("value", "$", "array<string>")
+    raw = F.try_variant_get("value", "$", "string")
     return long.select("path", "doc_id", "key",
-                       F.when(~is_list, F.col("raw")).otherwise(F.array_join(sents, " ")).alias("text"),
-                       F.when(is_list, sents).otherwise(F.array("raw")).alias("sentences"))
+                       F.when(is_list, F.array_join(sents, " ")).otherwise(raw).alias("text"),
+                       F.when(is_list, sents).otherwise(F.array(raw)).alias("sentences"))
 
 
 def read_profiler_traces(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from stepfold.operators import trainlog as T
@@ -43,6 +44,38 @@ def test_read_log_lines_and_averages(spark):
     assert len(avg) == 2 and all(r.n_steps == 12 for r in avg)
 
 
+def test_log_split_in_blocks_keeps_line_numbers(spark):
+    d = tempfile.mkdtemp(prefix="stepfold-blocks-")
+    with open(os.path.join(d, "big.log"), "w") as fh:
+        fh.writelines(f"line {i} {'x' * (i % 37)}\n" for i in range(5000))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        lines = S.read_log_lines(spark, d)
+        assert lines.select("line").rdd.getNumPartitions() >= 1
+        rows = lines.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.line_no, int(r.line.split()[1])) for r in rows) == [(i, i) for i in range(5000)]
+
+
+def test_corpus_text_that_begins_with_a_bracket(spark):
+    d = tempfile.mkdtemp(prefix="stepfold-jsonl-")
+    with open(os.path.join(d, "c.jsonl"), "w") as fh:
+        fh.write('{"text": "[Note] a document", "id": 1}\n{"text": ["One.", "Two."], "id": 2}\n{"id": 3}\n{"text": "[1, 2]", "id": 4}\n')
+    rows = {r.doc_id: (r.text, r.sentences) for r in S.read_corpus_jsonl(spark, d, id_col="id").collect()}
+    assert rows[1] == ("[Note] a document", ["[Note] a document"])
+    assert rows[2] == ("One. Two.", ["One.", "Two."])
+    assert rows[3][0] is None
+    assert rows[4][0] == "[1, 2]"
+
+
+def test_markdown_is_refused_not_cut(spark):
+    with pytest.raises(ValueError):
+        R.to_markdown(spark.range(1001).toDF("id"))
+    assert len(R.to_markdown(spark.range(1000).toDF("id")).splitlines()) == 1002
+
+
 def test_report_sinks_round_trip(spark):
     d = tempfile.mkdtemp(prefix="stepfold-sink-")
     df = spark.createDataFrame([(1, "a", 1.5), (2, None, 2.5)], "id int, name string, v double")
