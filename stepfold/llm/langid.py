@@ -38,7 +38,7 @@ LEAST_SHARE = 2e-5
 LEAST_RATIO = 0.05
 HASHES = 3
 SLOTS_PER_GRAM = 24  # slots for each n-gram of the language that holds most
-CHARS_AT_A_TIME = 1 << 20
+CHARS_AT_A_TIME = 1 << 19
 SPACE = 32
 
 
