@@ -48,12 +48,21 @@ def _exact_at_least(a: np.ndarray, b: np.ndarray, cosine: float) -> bool:
     return dot * dot >= bound * bound * norms if dot >= 0 else dot * dot <= bound * bound * norms
 
 
-def _links(rows: np.ndarray, home: np.ndarray, raw: np.ndarray, raw_home: np.ndarray, cosine: float) -> np.ndarray:
-    found = rows @ home.T
-    linked = found >= cosine
-    for i, j in zip(*np.nonzero(np.abs(found - cosine) < 1e-12)):
-        linked[i, j] = _exact_at_least(raw[i], raw_home[j], cosine)
-    return linked
+def _links(raw: np.ndarray, rows: np.ndarray, raw_home: np.ndarray, home: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (row, home row) of all pairs that link. Single precision decides
+    the pairs beyond its error bound, double precision those nearer, exact arithmetic a tie."""
+    margin = max(1e-5, 2e-7 * rows.shape[1])
+    found = rows.astype(np.float32) @ home.T
+    i, j = np.divmod(np.flatnonzero(found >= np.float32(cosine - margin)), found.shape[1])
+    near = np.flatnonzero(found[i, j] <= cosine + margin)
+    if len(near):
+        exact = np.einsum("ij,ij->i", rows[i[near]], unit(raw_home[j[near]]))
+        linked = np.ones(len(i), dtype=bool)
+        linked[near] = exact >= cosine
+        for n in np.flatnonzero(np.abs(exact - cosine) < 1e-12):
+            linked[near[n]] = _exact_at_least(raw[i[near[n]]], raw_home[j[near[n]]], cosine)
+        i, j = i[linked], j[linked]
+    return i, j
 
 
 class _Chunk:
@@ -72,7 +81,7 @@ class _Chunk:
         table = pa.Table.from_batches(self.parts).combine_chunks()
         self.ids = table["rep"].combine_chunks() if isinstance(table["rep"], pa.ChunkedArray) else table["rep"]
         self.raw = matrix(table["vector"].combine_chunks() if isinstance(table["vector"], pa.ChunkedArray) else table["vector"])
-        self.home, self.weight = unit(self.raw), table["weight"].to_numpy()
+        self.home, self.weight = unit(self.raw).astype(np.float32), table["weight"].to_numpy()
         self.count = self.weight - 1
         self.parent = np.arange(len(self.home))
 
@@ -80,11 +89,11 @@ class _Chunk:
         """Count the links of rows with the home rows; the first home row that each row links with, or -1."""
         self.start()
         rows = unit(raw)
-        linked = _links(rows, self.home, raw, self.raw, self.cosine)
+        i, j = _links(raw, rows, self.raw, self.home, self.cosine)
         if itself:
-            linked[np.arange(len(rows)), np.arange(at, at + len(rows))] = False
-        self.count += weight @ linked
-        i, j = np.nonzero(linked)
+            other = j != i + at
+            i, j = i[other], j[other]
+        self.count += np.bincount(j, weights=weight[i], minlength=len(self.home)).astype(np.int64)
         first = np.full(len(rows), -1)
         if len(i):
             begin = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
