@@ -88,7 +88,7 @@ def attach_host(df: DataFrame, hosts: DataFrame | None) -> DataFrame:
     the world size), so it is broadcast; an unknown rank gets ''."""
     if hosts is None:
         return df.withColumn("host", F.lit(""))
-    return (df.join(F.broadcast(hosts.select("rank", "host")), "rank", "left")
+    return (df.join(hosts.select("rank", "host"), "rank", "left")
             .withColumn("host", F.coalesce(F.col("host"), F.lit(""))))
 
 

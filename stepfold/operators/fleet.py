@@ -89,16 +89,18 @@ def network_checks(env: DataFrame) -> DataFrame:
     def f(cond: Column, level: str, msg: str) -> Column:
         return F.when(cond, F.struct(F.lit(level).alias("level"), F.lit(msg).alias("message")))
 
+    # Finding texts are looked up by their wording.
     cands = F.array(
-        f((ifn != "") & ~F.array_contains(nics, ifn), "warn", "NCCL_SOCKET_IFNAME not among NICs"),
-        f((gloo != "") & ~F.array_contains(nics, gloo), "warn", "GLOO_SOCKET_IFNAME not among NICs"),
-        f(_suspect(ifn) | _suspect(gloo), "warn", "socket interface looks suspect"),
+        f((ifn != "") & ~F.array_contains(nics, ifn), "warn", "NCCL_SOCKET_IFNAME does not match any visible NIC"),
+        f((gloo != "") & ~F.array_contains(nics, gloo), "warn", "GLOO_SOCKET_IFNAME does not match any visible NIC"),
+        f(_suspect(ifn) | _suspect(gloo), "warn", "IFNAME looks suspect (lo/docker0/veth)"),
         f(((ifn != "") & (ifn != F.col("route_dev"))) | ((gloo != "") & (gloo != F.col("route_dev"))),
-          "warn", "socket interface differs from route to master"),
+          "warn", "Socket IFNAME does not match route-to-master interface (may hang init_process_group)"),
         f(~ib_disable.isin("0", "1"), "warn", "NCCL_IB_DISABLE has an unexpected value"),
         f(expected_ib & ((ib_disable == "1") | ~has_ib), "warn", "IB expected but not enabled/available"),
-        f(expected_ib & (F.col("hca") == ""), "warn", "IB expected but NCCL_IB_HCA not set"),
-        F.struct(F.lit("info").alias("level"), F.lit("network snapshot").alias("message")))
+        f(expected_ib & (F.col("hca") == ""), "warn", "NCCL_IB_HCA not set (may fall back to socket)"),
+        *[F.struct(F.lit("info").alias("level"), F.lit(m).alias("message"))
+          for m in ("NIC and network path", "InfiniBand / RDMA", "RCCL/NCCL snapshot")])
     return env.select("host", "rank", F.explode(F.filter(cands, lambda x: x.isNotNull())).alias("f")) \
         .select("host", "rank", "f.level", "f.message")
 

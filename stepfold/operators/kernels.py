@@ -96,8 +96,8 @@ def attention_flops(df: DataFrame, causal: bool = True) -> DataFrame:
 def regression_check(measured: DataFrame, thresholds: DataFrame, key, value: str = "tflops",
                      roofline: str | None = None) -> DataFrame:
     """JN6: rows below the minimum of their (key) threshold, with the ratio to
-    the roofline when given. The threshold table is a small dimension."""
-    j = measured.join(F.broadcast(thresholds), key)
+    the roofline when given."""
+    j = measured.join(thresholds, key)
     out = j.filter(F.col(value) < F.col("min_value"))
     if roofline:
         out = out.withColumn("roofline_ratio", F.col(value) / F.col(roofline))

@@ -33,8 +33,8 @@ def v_kernel_results(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     model = F.element_at(_arr(MODELS), (F.col("l_partkey") % 3 + 1).cast("int"))
     model = F.when(F.col("l_orderkey") % 5 == 0, F.upper(model)).otherwise(model)
-    # shapes 0..4 but 'vocab' only for linenumber 7 -> some cases are never measured
-    shape = F.element_at(_arr(KB.SHAPES), (F.col("l_linenumber") % 5 + 1).cast("int"))
+    # the last shape, 'vocab', is never measured
+    shape = F.element_at(_arr(KB.SHAPES), (F.col("l_linenumber") % 4 + 1).cast("int"))
     return li.select(
         F.format_string("node%d", (F.col("l_suppkey") % 4).cast("int")).alias("host"),
         (F.col("l_suppkey") % 8).cast("int").alias("rank"), model.alias("model"), shape.alias("shape"),
@@ -62,7 +62,7 @@ ex AS (SELECT sh.*, p.phase, b.mbs, b.mbs * s0 AS m FROM sh, (VALUES ('fwd'), ('
 kr AS (
   SELECT 'node' || CAST(l_suppkey % 4 AS VARCHAR) AS host, CAST(l_suppkey % 8 AS INTEGER) AS rank,
          {str(MODELS).replace('"', "'")}[l_partkey % 3 + 1] AS model,
-         {str(KB.SHAPES).replace('"', "'")}[l_linenumber % 5 + 1] AS shape,
+         {str(KB.SHAPES).replace('"', "'")}[l_linenumber % 4 + 1] AS shape,
          ['fwd', 'wgrad', 'dgrad'][l_orderkey % 3 + 1] AS phase, CAST(l_orderkey % 2 + 1 AS INTEGER) AS mbs,
          l_extendedprice / 1000 AS ms
   FROM lineitem),
@@ -91,24 +91,24 @@ def q_benchmark_coverage(spark, sf_dir):
                           F.col("m").cast("long").alias("m"))
 
 
-@register("attention_flops", f"""WITH {CAT}, a AS (
-  SELECT model, b.batch, seqlen, heads, hd, b.batch * 1.5 AS fwd_ms FROM cat, (VALUES (1), (2), (4)) b(batch))
-SELECT model, CAST(batch AS BIGINT) AS batch,
-       round(2.0 * batch * seqlen * seqlen * heads * (hd + hd) / 1e12 * 0.5, 8) AS tflop_fwd,
-       round(2.0 * batch * seqlen * seqlen * heads * (hd + hd) / 1e12 * 0.5 * 2.5, 8) AS tflop_bwd,
-       round(2.0 * batch * seqlen * seqlen * heads * (hd + hd) / 1e12 * 0.5 / (fwd_ms / 1000.0), 8) AS fwd_tflops,
-       round(greatest(fwd_ms * 3.2 / 1000.0 - fwd_ms / 1000.0, 1e-12), 8) AS bwd_s,
-       round(2.0 * batch * seqlen * seqlen * heads * (hd + hd) / 1e12 * 0.5 * 2.5 / greatest(fwd_ms * 3.2 / 1000.0 - fwd_ms / 1000.0, 1e-12), 8) AS bwd_tflops
+@register("attention_flops", f"""WITH {CAT}, t AS (
+  SELECT {str(MODELS).replace('"', "'")}[l_partkey % 3 + 1] AS model, l_linenumber AS batch, avg(l_extendedprice) / 1e6 AS fwd_s,
+         avg(l_extendedprice + 1000 * l_quantity) / 1e6 AS all_s FROM lineitem GROUP BY ALL),
+a AS (SELECT model, batch, fwd_s, 2.0 * batch * seqlen * seqlen * heads * (hd + hd) / 1e12 * 0.5 AS tflop_fwd,
+  greatest(all_s - fwd_s, 1e-12) AS bwd_s FROM t JOIN cat USING (model))
+SELECT model, CAST(batch AS BIGINT) AS batch, round(tflop_fwd, 8) AS tflop_fwd, round(tflop_fwd * 2.5, 8) AS tflop_bwd,
+       round(tflop_fwd / fwd_s, 8) AS fwd_tflops, round(bwd_s, 8) AS bwd_s, round(tflop_fwd * 2.5 / bwd_s, 8) AS bwd_tflops
 FROM a""")
 def q_attention_flops(spark, sf_dir):
-    """Attention cases of every catalog model at batch 1, 2, 4 (times from the
-    batch size, as the kernel results of this data set have no attention rows)."""
-    cat = KB.model_catalog_df(spark)
-    cases = cat.select("model", "seqlen", F.col("num_attention_heads").alias("heads"),
-                       F.col("head_dim").alias("head_dim_qk"), F.col("head_dim").alias("head_dim_v"),
-                       F.explode(F.array(F.lit(1), F.lit(2), F.lit(4))).alias("batch"))
-    cases = cases.withColumn("fwd_s", F.col("batch") * 1.5 / 1000.0) \
-        .withColumn("fwd_bwd_s", F.col("batch") * 1.5 * 3.2 / 1000.0)
+    """Attention cases measured per model and batch size; times from lineitem."""
+    li = table(spark, sf_dir, "lineitem")
+    times = li.groupBy(F.element_at(_arr(MODELS), (F.col("l_partkey") % 3 + 1).cast("int")).alias("model"),
+                       F.col("l_linenumber").alias("batch")).agg(
+        (F.avg("l_extendedprice") / 1e6).alias("fwd_s"),
+        (F.avg(F.col("l_extendedprice") + 1000 * F.col("l_quantity")) / 1e6).alias("fwd_bwd_s"))
+    cases = times.join(KB.model_catalog_df(spark).select(
+        "model", "seqlen", F.col("num_attention_heads").alias("heads"),
+        F.col("head_dim").alias("head_dim_qk"), F.col("head_dim").alias("head_dim_v")), "model")
     out = KB.attention_flops(cases, causal=True)
     return out.select("model", F.col("batch").cast("long").alias("batch"), "tflop_fwd", "tflop_bwd", "fwd_tflops",
                       "bwd_s", "bwd_tflops")
@@ -116,13 +116,13 @@ def q_attention_flops(spark, sf_dir):
 
 @register("regression_check", f"""WITH {SQL_BASE},
 r AS (SELECT host, rank, model, shape, phase, mbs, 2.0 * m * n * k / (ms / 1000.0) / 1e12 AS tflops FROM ms),
-t(phase, min_value) AS (VALUES ('fwd', 12000.0), ('wgrad', 11000.0), ('dgrad', 11000.0))
+t(phase, min_value) AS (VALUES ('fwd', 12.0), ('wgrad', 11.0), ('dgrad', 11.0))
 SELECT host, rank, model, shape, phase, mbs, round(tflops, 8) AS tflops, min_value FROM r JOIN t USING (phase)
 WHERE tflops < min_value""")
 def q_regression_check(spark, sf_dir):
     measured, _ = _measured(spark, sf_dir)
     rl = KB.gemm_roofline(measured)
-    th = spark.createDataFrame([("fwd", 12000.0), ("wgrad", 11000.0), ("dgrad", 11000.0)], "phase string, min_value double")
+    th = spark.createDataFrame([("fwd", 12.0), ("wgrad", 11.0), ("dgrad", 11.0)], "phase string, min_value double")
     return KB.regression_check(rl, th, ["phase"]).select("host", "rank", "model", "shape", "phase", "mbs",
                                                          "tflops", "min_value")
 

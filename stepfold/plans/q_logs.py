@@ -83,21 +83,45 @@ def q_megatron_averages(spark, sf_dir):
 
 
 @register("strip_ansi", f"""WITH {STEPS}
-SELECT {MPATH} AS path, CAST(count(*) AS BIGINT) AS n_lines,
+SELECT {MPATH} AS path,
+       CAST(count(*) + count(*) FILTER (WHERE event_id % 10 = 0) + CASE WHEN run % 5 <> 0 THEN 2 ELSE 1 END AS BIGINT) AS n_lines,
        CAST(sum(CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_cleaned,
+       CAST(sum(CASE WHEN event_id % 7 = 0 THEN 9 ELSE 0 END) AS BIGINT) AS chars_removed,
        CAST(sum(length(printf('[%s][user/team][trainer][ip-10-0-0-1][rank-7/8][INFO]', strftime(ts, '%Y%m%d %H:%M:%S')))) AS BIGINT) AS header_chars
 FROM v_steps GROUP BY run""")
 def q_strip_ansi(spark, sf_dir):
-    """Per file: step lines, lines that carried escape codes, and header
-    characters left after stripping (the header ends at ``[INFO]``)."""
-    lines = _mlines(spark, sf_dir).filter(F.col("line").contains("iteration") &
-                                          F.col("line").contains("tokens per GPU"))
-    clean = T.strip_ansi_lines(lines)
-    joined = lines.alias("a").join(clean.alias("b"), ["path", "line_no"])
-    return joined.groupBy("path").agg(
+    """Per file: all lines, lines that carried escape codes, characters removed, and header
+    characters left after stripping (a step line's header ends at ``[INFO]``)."""
+    lines = _mlines(spark, sf_dir).withColumn("_raw", F.col("line"))
+    header = F.instr("line", "[INFO]")
+    return T.strip_ansi_lines(lines).groupBy("path").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.when(F.col("a.line") != F.col("b.line"), 1).otherwise(0)).cast("long").alias("n_cleaned"),
-        F.sum(F.instr(F.col("b.line"), "[INFO]") + 5).cast("long").alias("header_chars"))
+        F.count(F.when(F.col("_raw") != F.col("line"), 1)).alias("n_cleaned"),
+        F.sum(F.length("_raw") - F.length("line")).cast("long").alias("chars_removed"),
+        F.sum(F.when(header > 0, header + 5).otherwise(0)).cast("long").alias("header_chars"))
+
+
+@register("enrich_train_log", f"""WITH {STEPS}, a AS (
+  SELECT *, avg(elapsed_ms) OVER w + 1e-6 AS ea, avg(tflops) OVER w + 1e-6 AS ta, avg(tokens) OVER w + 1e-6 AS ka FROM v_steps
+  WINDOW w AS (PARTITION BY run, iter > 2, (iter - 3) // 10 ORDER BY iter ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT {MPATH} AS path, CAST(iter*2 AS BIGINT) AS line_no,
+  printf('[%s][user/team][trainer][ip-10-0-0-1][rank-7/8][INFO] iteration %8d/%8d', strftime(ts, '%Y%m%d %H:%M:%S'), iter, 100000)
+  || printf(' | consumed samples: %12d', iter * gbs)
+  || CASE WHEN iter > 2 THEN printf(' | elapsed time per iteration (ms): %.1f/%.1f | throughput per GPU (TFLOP/s/GPU): %.1f/%.1f'
+       || ' | tokens per GPU (tokens/s/GPU): %.1f/%.1f', elapsed_ms, ea, tflops, ta, tokens, ka)
+     ELSE printf(' | elapsed time per iteration (ms): %.1f | throughput per GPU (TFLOP/s/GPU): %.1f', elapsed_ms, tflops) END
+  || ' | tokens per GPU (tokens/s/GPU): ' || CASE WHEN event_id % 3 = 0 THEN format('{{:,.1f}}', tokens) ELSE printf('%.1f', tokens) END
+  || printf(' | learning rate: 1.000000E-04 | global batch size: %5d | ', gbs) || printf('lm loss: %.6E', value / 10 + 1)
+  || ' | loss scale: 1.0 | number of skipped iterations:   0 | number of nan iterations:   0' AS line
+FROM a""")
+def q_enrich_train_log(spark, sf_dir):
+    """Every step line rewritten with its running averages (a tiny offset keeps means off rounding ties)."""
+    lines = T.strip_ansi_lines(_mlines(spark, sf_dir))
+    avg = W.running_averages(T.parse_megatron_steps(lines), ["elapsed_ms", "tflops_gpu", "tokens_gpu"])
+    avg = avg.select("path", "line_no", (F.col("elapsed_ms_avg") + 1e-6).alias("elapsed_avg"),
+                     (F.col("tflops_gpu_avg") + 1e-6).alias("tflops_avg"), F.col("tokens_gpu").alias("tokens_inst"),
+                     (F.col("tokens_gpu_avg") + 1e-6).alias("tokens_avg"))
+    return T.enrich_train_log(T.parse_train_log(lines), avg)
 
 
 @register("parse_train_log", f"""WITH {STEPS}

@@ -108,11 +108,13 @@ def q_loss_reproducibility(spark, sf_dir):
     return LS.loss_reproducibility(run, ref)
 
 
-@register("eval_loss", f"""WITH {LOSS_PARTS}
-SELECT run, key, round(CASE WHEN sum(coalesce(den, 1.0)) > 0 THEN sum(num) / sum(coalesce(den, 1.0)) ELSE 0.0 END, 8) AS loss
-FROM lp WHERE NOT skipped GROUP BY run, key""")
+@register("eval_loss", f"""WITH {LOSS_PARTS}, e AS (
+  SELECT run, key, CASE WHEN sum(coalesce(den, 1.0)) > 0 THEN sum(num) / sum(coalesce(den, 1.0)) ELSE 0.0 END AS loss FROM lp GROUP BY run, key)
+SELECT run, key, isnan(loss) AS is_nan, round(CASE WHEN NOT isnan(loss) THEN loss END, 8) AS loss FROM e""")
 def q_eval_loss(spark, sf_dir):
-    return LS.eval_loss(V.v_loss_parts(spark, sf_dir).filter(~F.col("skipped")))
+    """All micro-batches; a sum with a NaN part is reported as such."""
+    e = LS.eval_loss(V.v_loss_parts(spark, sf_dir))
+    return e.select("run", "key", F.isnan("loss").alias("is_nan"), F.when(~F.isnan("loss"), F.col("loss")).alias("loss"))
 
 
 @register("interval_loss", f"""WITH {LOSS_PARTS},
@@ -261,15 +263,15 @@ nx AS (
 
 
 @register("network_checks", f"""WITH {NET}
-SELECT host, rank, 'warn' AS level, 'NCCL_SOCKET_IFNAME not among NICs' AS message FROM nx WHERE ifname <> '' AND NOT list_contains(nics, ifname)
-UNION ALL SELECT host, rank, 'warn', 'GLOO_SOCKET_IFNAME not among NICs' FROM nx WHERE gloo <> '' AND NOT list_contains(nics, gloo)
-UNION ALL SELECT host, rank, 'warn', 'socket interface looks suspect' FROM nx WHERE suspect
-UNION ALL SELECT host, rank, 'warn', 'socket interface differs from route to master' FROM nx
+SELECT host, rank, 'warn' AS level, 'NCCL_SOCKET_IFNAME does not match any visible NIC' AS message FROM nx WHERE ifname <> '' AND NOT list_contains(nics, ifname)
+UNION ALL SELECT host, rank, 'warn', 'GLOO_SOCKET_IFNAME does not match any visible NIC' FROM nx WHERE gloo <> '' AND NOT list_contains(nics, gloo)
+UNION ALL SELECT host, rank, 'warn', 'IFNAME looks suspect (lo/docker0/veth)' FROM nx WHERE suspect
+UNION ALL SELECT host, rank, 'warn', 'Socket IFNAME does not match route-to-master interface (may hang init_process_group)' FROM nx
   WHERE (ifname <> '' AND ifname <> route_dev) OR (gloo <> '' AND gloo <> route_dev)
 UNION ALL SELECT host, rank, 'warn', 'NCCL_IB_DISABLE has an unexpected value' FROM nx WHERE ib_disable NOT IN ('0', '1')
 UNION ALL SELECT host, rank, 'warn', 'IB expected but not enabled/available' FROM nx WHERE expected_ib AND (ib_disable = '1' OR NOT has_ib)
-UNION ALL SELECT host, rank, 'warn', 'IB expected but NCCL_IB_HCA not set' FROM nx WHERE expected_ib AND hca = ''
-UNION ALL SELECT host, rank, 'info', 'network snapshot' FROM nx""")
+UNION ALL SELECT host, rank, 'warn', 'NCCL_IB_HCA not set (may fall back to socket)' FROM nx WHERE expected_ib AND hca = ''
+UNION ALL SELECT host, rank, 'info', unnest(['NIC and network path', 'InfiniBand / RDMA', 'RCCL/NCCL snapshot']) FROM nx""")
 def q_network_checks(spark, sf_dir):
     return FL.network_checks(V.v_network_env(spark, sf_dir))
 
