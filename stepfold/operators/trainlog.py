@@ -33,13 +33,19 @@ ARGUMENT = r"\]:\s+([a-zA-Z0-9_]+)\s+\.{3,}\s+(.*)$"
 COMPLETION_MARKER = "Training completed."
 
 
-def _groups(line: Column, pattern: str, names_casts: list[tuple[str, str]]) -> list[Column]:
-    out = []
-    for i, (name, kind) in enumerate(names_casts, start=1):
-        g = F.regexp_extract(line, pattern, i)
-        conv = {"long": to_long, "int": to_int, "double": to_double, "num": comma_number}[kind]
-        out.append(conv(g).alias(name))
-    return out
+SEPARATOR = "\u0001"  # does not occur in log text
+
+
+def _parsed(lines: DataFrame, pattern: str, names_casts: list[tuple[str, str]]) -> DataFrame:
+    """(path, line_no, groups) of the lines that match. One search gives all
+    groups: the line is replaced by them, and a line without a match stays one part."""
+    n = len(names_casts)
+    groups = SEPARATOR.join(f"${i}" for i in range(1, n + 1))
+    parts = F.split(F.regexp_replace("line", f"^.*?{pattern}.*$", groups), SEPARATOR)
+    conv = {"long": to_long, "int": to_int, "double": to_double, "num": comma_number}
+    return (lines.select("path", "line_no", parts.alias("_g")).filter(F.size("_g") == n)
+            .select("path", "line_no", *[conv[kind](F.get("_g", F.lit(i))).alias(name)
+                                         for i, (name, kind) in enumerate(names_casts)]))
 
 
 # ---------------------------------------------------------------- PRJ1
@@ -53,12 +59,8 @@ def strip_ansi_lines(lines: DataFrame) -> DataFrame:
 
 def parse_megatron_steps(lines: DataFrame) -> DataFrame:
     """PRJ4: (path, line_no, iter, elapsed_ms, tflops_gpu, tokens_gpu, gbs)."""
-    l = F.col("line")
-    return (lines.filter(l.rlike(MEGATRON_STEP))
-            .select("path", "line_no",
-                    *_groups(l, MEGATRON_STEP, [("iter", "long"), ("elapsed_ms", "num"),
-                                                ("tflops_gpu", "num"), ("tokens_gpu", "num"),
-                                                ("gbs", "long")])))
+    return _parsed(lines, MEGATRON_STEP, [("iter", "long"), ("elapsed_ms", "num"), ("tflops_gpu", "num"),
+                                          ("tokens_gpu", "num"), ("gbs", "long")])
 
 
 def _warm_dropped_means(steps: DataFrame, order: list[str], metrics: list[str], first_kept: list[str],
@@ -67,21 +69,16 @@ def _warm_dropped_means(steps: DataFrame, order: list[str], metrics: list[str],
     over the rest, ``first_kept`` columns of the first kept row; files with
     ``<= drop`` rows are skipped.
 
-    Built as totals (partial aggregation) minus the first rows (top-k with a
-    partial window-group limit), so no file is sorted whole in one task.
+    The place of the last dropped row comes from a top-k with a partial
+    window-group limit (one row per file); the means are plain partial
+    aggregates over the rows after it, so no file is sorted whole in one task.
     """
-    totals = steps.groupBy("path").agg(F.count(F.lit(1)).alias("_n"),
-                                       *[F.sum(m).alias(f"_s_{m}") for m in metrics])
-    head = first_k(steps, ["path"], order, drop + 1)
-    head = head.groupBy("path").agg(
-        *[F.sum(F.when(F.col("rn") <= drop, F.col(m))).alias(f"_h_{m}") for m in metrics],
-        *[F.max_by(F.col(c), F.when(F.col("rn") == drop + 1, F.lit(1))).alias(c) for c in first_kept])
-    out = totals.filter(F.col("_n") > drop).join(head, "path")
-    n = F.col("_n") - drop
-    return out.select("path", n.cast("long").alias("n_steps"),
-                      *[((F.col(f"_s_{m}") - F.coalesce(F.col(f"_h_{m}"), F.lit(0.0))) / n).alias(m)
-                        for m in metrics],
-                      *first_kept)
+    place = F.struct(*order)
+    cut = first_k(steps.select("path", *order), ["path"], order, drop).filter(F.col("rn") == drop) \
+        .select("path", place.alias("_cut"))
+    kept = steps.join(cut, "path").filter(place > F.col("_cut"))
+    return kept.groupBy("path").agg(F.count(F.lit(1)).alias("n_steps"), *[F.avg(m).alias(m) for m in metrics],
+                                    *[F.min_by(F.col(c), place).alias(c) for c in first_kept])
 
 
 def megatron_averages(steps: DataFrame) -> DataFrame:
@@ -171,11 +168,8 @@ def enrich_train_log(parsed: DataFrame, averages: DataFrame, memory_text: DataFr
 def parse_titan_steps(lines: DataFrame) -> DataFrame:
     """PRJ5: (path, line_no, step, memory_gib, tps, tflops, mfu) plus the
     per-file config (first occurrence of local batch size and seq length)."""
-    l = F.col("line")
-    steps = lines.filter(l.rlike(TITAN_STEP)).select(
-        "path", "line_no",
-        *_groups(l, TITAN_STEP, [("step", "long"), ("memory_gib", "double"), ("tps", "num"),
-                                 ("tflops", "num"), ("mfu", "double")]))
+    steps = _parsed(lines, TITAN_STEP, [("step", "long"), ("memory_gib", "double"), ("tps", "num"),
+                                        ("tflops", "num"), ("mfu", "double")])
     cfg = titan_config(lines)
     return steps.join(cfg, "path", "left")
 
@@ -197,7 +191,7 @@ def titan_averages(steps: DataFrame) -> DataFrame:
     metrics = ["memory_gib", "tps", "tflops", "mfu"]
     out = _warm_dropped_means(steps.select("path", "line_no", "step", *metrics), ["step", "line_no"],
                               metrics, [])
-    cfg = steps.select("path", "local_batch_size", "seq_len").dropDuplicates(["path"])
+    cfg = steps.groupBy("path").agg(F.max("local_batch_size").alias("local_batch_size"), F.max("seq_len").alias("seq_len"))
     return out.join(cfg, "path", "left")
 
 
@@ -205,25 +199,15 @@ def titan_averages(steps: DataFrame) -> DataFrame:
 
 def parse_maxtext_steps(lines: DataFrame) -> DataFrame:
     """PRJ6: (path, line_no, step, seconds, tflops, tokens, loss) from ANSI-free text."""
-    l = strip_ansi("line")
-    return (lines.select("path", "line_no", l.alias("line"))
-            .filter(F.col("line").rlike(MAXTEXT_STEP))
-            .select("path", "line_no",
-                    *_groups(F.col("line"), MAXTEXT_STEP,
-                             [("step", "long"), ("seconds", "double"), ("tflops", "double"),
-                              ("tokens", "num"), ("loss", "double")])))
+    return _parsed(strip_ansi_lines(lines), MAXTEXT_STEP,
+                   [("step", "long"), ("seconds", "double"), ("tflops", "double"), ("tokens", "num"), ("loss", "double")])
 
 
 def parse_titan_daily_steps(lines: DataFrame) -> DataFrame:
     """Daily-report variant of PRJ5: rank-0 lines only, with loss and grad norm."""
-    l = strip_ansi("line")
-    return (lines.select("path", "line_no", l.alias("line"))
-            .filter(F.col("line").rlike(TITAN_DAILY_STEP))
-            .select("path", "line_no",
-                    *_groups(F.col("line"), TITAN_DAILY_STEP,
-                             [("step", "long"), ("loss", "double"), ("grad_norm", "double"),
-                              ("memory_gib", "double"), ("memory_pct", "double"), ("tps", "num"),
-                              ("tflops", "double"), ("mfu", "double")])))
+    return _parsed(strip_ansi_lines(lines), TITAN_DAILY_STEP,
+                   [("step", "long"), ("loss", "double"), ("grad_norm", "double"), ("memory_gib", "double"),
+                    ("memory_pct", "double"), ("tps", "num"), ("tflops", "double"), ("mfu", "double")])
 
 
 # ---------------------------------------------------------------- PRJ7
