@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepfold.functions.text import log_time, strip_ansi
+from stepfold.operators.common import global_running
 
 # Fixed patterns of the logger header and the checkpoint messages.
 HEADER = r"\[(.*?)\].*?\.py:\d+\]:\s*(.*)"
@@ -43,18 +44,21 @@ def read_rank_logs(lines: DataFrame, run_col: str = "run") -> DataFrame:
             .withColumn("ts", log_time("time")))
 
 
-def _ordinal(events: DataFrame, pattern: str, run_col: str, name: str) -> DataFrame:
-    w = Window.partitionBy(run_col).orderBy("ts", "line_no")
-    return (events.filter(F.col("msg").contains(pattern))
-            .select(run_col, F.row_number().over(w).alias("n"), F.col("ts").alias(name)))
-
-
 def pair_events(events: DataFrame, start: str, end: str, run_col: str = "run") -> DataFrame:
-    """JN4: n-th start with n-th end of a run (ordinal full outer join);
-    ``paired`` is false where one side is missing."""
-    s = _ordinal(events, start, run_col, "start_ts")
-    e = _ordinal(events, end, run_col, "end_ts")
-    return (s.join(e, [run_col, "n"], "full_outer")
+    """JN4: n-th start with n-th end of a run, one row for each n; ``paired`` is
+    false where one side is missing. Starts and ends are numbered in one pass,
+    range by range, so one long run is spread over tasks."""
+    is_start, is_end = F.col("msg").contains(start), F.col("msg").contains(end)
+    marked = events.filter(is_start | is_end).select(
+        run_col, "ts", "line_no", "msg", F.when(is_start, 1).alias("_is_start"), F.when(is_end, 1).alias("_is_end"))
+    placed = global_running(marked, ["ts", "line_no", "msg"], [run_col],
+                            {"_starts": F.count("_is_start"), "_ends": F.count("_is_end")})
+    sides = F.array(F.struct(F.col("_starts").alias("n"), (F.col("_is_start") == 1).alias("there"), F.lit("start").alias("side")),
+                    F.struct(F.col("_ends").alias("n"), (F.col("_is_end") == 1).alias("there"), F.lit("end").alias("side")))
+    long = placed.select(run_col, "ts", F.inline(F.filter(sides, lambda s: s["there"])))
+    return (long.groupBy(run_col, (F.col("n") + 1).cast("int").alias("n"))
+            .agg(F.max(F.when(F.col("side") == "start", F.col("ts"))).alias("start_ts"),
+                 F.max(F.when(F.col("side") == "end", F.col("ts"))).alias("end_ts"))
             .withColumn("seconds", F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts")))
             .withColumn("paired", F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()))
 

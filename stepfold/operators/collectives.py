@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepfold.operators.common import first_k
+from stepfold.operators.common import exact_percentiles, first_k
 
 CASE = ["op", "bytes", "dtype", "repeat"]
 
@@ -57,9 +57,7 @@ def critical_path(times: DataFrame) -> DataFrame:
 def latency_percentiles(times: DataFrame, world: int) -> DataFrame:
     """AGG10: p50/p95/min/max of the critical path, effective GB/s from p50."""
     cp = critical_path(times)
-    q = F.percentile(F.col("latency_ms"), F.array(F.lit(0.5), F.lit(0.95)))
-    out = cp.groupBy(*CASE).agg(q.alias("q"), F.min("latency_ms").alias("tmin"),
-                                F.max("latency_ms").alias("tmax"))
+    out = exact_percentiles(cp, CASE, "latency_ms", (0.5, 0.95)).withColumnsRenamed({"least": "tmin", "largest": "tmax"})
     p50 = F.col("q")[0]
     return out.select(*CASE, p50.alias("p50"), F.col("q")[1].alias("p95"), "tmin", "tmax",
                       (F.col("bytes") * bytes_factor(F.col("op"), world) / (p50 / 1000.0) / 1e9).alias("eff_gbps"))
@@ -67,10 +65,9 @@ def latency_percentiles(times: DataFrame, world: int) -> DataFrame:
 
 def rank_percentiles(times: DataFrame) -> DataFrame:
     """Per (case, rank): p50/p95/min/max of the rank's own series."""
-    q = F.percentile(F.col("latency_ms"), F.array(F.lit(0.5), F.lit(0.95)))
-    return (times.groupBy(*CASE, "rank")
-            .agg(q.alias("q"), F.min("latency_ms").alias("rmin"), F.max("latency_ms").alias("rmax"))
-            .select(*CASE, "rank", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"), "rmin", "rmax"))
+    q = exact_percentiles(times, [*CASE, "rank"], "latency_ms", (0.5, 0.95))
+    return q.select(*CASE, "rank", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"),
+                    F.col("least").alias("rmin"), F.col("largest").alias("rmax"))
 
 
 def rank_report(times: DataFrame, world: int, hosts: DataFrame | None = None) -> DataFrame:

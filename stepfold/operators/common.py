@@ -95,3 +95,51 @@ def global_prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str,
     """Exclusive running sum of ``value`` in ``order`` (within ``group``) over
     the whole table, range by range as in ``global_index``."""
     return global_running(df, order, group, {out: F.sum(value)})
+
+
+def global_last(df: DataFrame, order: Sequence[str], group: Sequence[str], value: Column, out: str) -> DataFrame:
+    """The last value of ``value`` that isn't null up to and with the row, in
+    ``order`` within ``group``; a row without one in its own range takes the last of the earlier ranges."""
+    bucketed = range_buckets(df, [*group, *order], "_bucket").withColumn("_value", value)
+    place = F.struct(*order)
+    base = bucketed.groupBy(*group, "_bucket").agg(
+        F.max_by("_value", F.when(F.col("_value").isNotNull(), place)).alias("_end"))
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = base.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_bucket").alias("_b"),
+                       F.last("_end", ignorenulls=True).over(before).alias("_base"))
+    same = F.col("_bucket") == F.col("_b")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    w = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = bucketed.withColumn("_local", F.last("_value", ignorenulls=True).over(w))
+    return local.join(base, same).withColumn(out, F.coalesce("_local", "_base")).drop(
+        "_bucket", "_value", "_b", "_base", "_local", *[f"_g{i}" for i in range(len(group))])
+
+
+def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: Sequence[float], out: str = "q") -> DataFrame:
+    """``percentile`` of each share (linear between the two nearest ranks) with the
+    least and largest value, per group, as (group, out array, least, largest).
+
+    Equal values are counted before the shuffle and ranked range by range, so a
+    hot group is spread over tasks; a group without values has nulls."""
+    counts = df.groupBy(*group, value).agg(F.count(value).alias("_n"))
+    ranked = global_running(counts, [value], group, {"_before": F.sum("_n")})
+    totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total")).select(
+        *[F.col(g).alias(f"_t{i}") for i, g in enumerate(group)], "_total")
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_t{i}"))
+    placed = ranked.join(totals, same)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n")), F.col(value)))
+
+    picks = []
+    for i, share in enumerate(shares):
+        place = (F.col("_total") - 1) * F.lit(float(share))
+        picks += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}"), F.max(place).alias(f"_p{i}")]
+    found = placed.groupBy(*group).agg(F.min(value).alias("least"), F.max(value).alias("largest"), *picks)
+    q = [F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(
+        (F.ceil(f"_p{i}") - F.col(f"_p{i}")) * F.col(f"_lo{i}") + (F.col(f"_p{i}") - F.floor(f"_p{i}")) * F.col(f"_hi{i}"))
+        for i in range(len(shares))]
+    return found.select(*group, F.array(*q).alias(out), "least", "largest")

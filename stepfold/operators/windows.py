@@ -4,7 +4,8 @@ The reference keeps a list per metric inside the training process: skip the
 first S iterations, clear the list when iteration S+1 appears (a restart) or
 when it already holds R values, append, print the mean. That is a tumbling
 block of R rows inside a segment that starts at every iteration S+1 — a
-windowed mean with ``rows unbounded preceding`` over (file, segment, block).
+windowed mean with ``rows unbounded preceding`` over (file, segment, block), at
+most R rows. ``order`` must be unique within a file.
 """
 
 from __future__ import annotations
@@ -14,14 +15,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stepfold.operators.common import global_index, global_last, global_running
+
 
 def _segments(df: DataFrame, key: Sequence[str], order: Sequence[str], iter_col: str, skip: int,
               reset: int) -> DataFrame:
-    start = (F.col(iter_col) == skip + 1).cast("int")
-    run = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_seg", F.sum(start).over(run))
-    in_seg = Window.partitionBy(*key, "_seg").orderBy(*order)
-    return df.withColumn("_block", F.floor((F.row_number().over(in_seg) - 1) / reset))
+    """Adds the segment and the block of each row. Segment numbers and places in a
+    segment are counted range by range, so one long run is spread over tasks."""
+    start = F.coalesce((F.col(iter_col) == skip + 1).cast("long"), F.lit(0))
+    df = global_running(df.withColumn("_start", start), order, key, {"_earlier": F.sum("_start")})
+    df = df.withColumn("_seg", F.col("_earlier") + F.col("_start"))
+    df = global_index(df, order, "_at", [*key, "_seg"])
+    return df.withColumn("_block", F.floor(F.col("_at") / reset)).drop("_start", "_earlier", "_at")
 
 
 def running_averages(steps: DataFrame, metrics: Sequence[str], key: Sequence[str] = ("path",),
@@ -52,6 +57,5 @@ def carry_forward(df: DataFrame, value: str, sampled: str, key: Sequence[str], o
                   out: str | None = None) -> DataFrame:
     """WIN3: value only on sampled rows, the others reuse the last sampled
     value; NULL before the first sample."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out or f"{value}_carried",
-                         F.last(F.when(F.col(sampled), F.col(value)), ignorenulls=True).over(w))
+    last = F.when(F.col(sampled), F.col(value))
+    return global_last(df, order, key, last, out or f"{value}_carried")
