@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepfold.functions.text import log_time, strip_ansi
-from stepfold.operators.common import global_running
+from stepfold.operators.common import global_running, written
 
 # Fixed patterns of the logger header and the checkpoint messages.
 HEADER = r"\[(.*?)\].*?\.py:\d+\]:\s*(.*)"
@@ -49,8 +49,8 @@ def pair_events(events: DataFrame, start: str, end: str, run_col: str = "run") -
     false where one side is missing. Starts and ends are numbered in one pass,
     range by range, so one long run is spread over tasks."""
     is_start, is_end = F.col("msg").contains(start), F.col("msg").contains(end)
-    marked = events.filter(is_start | is_end).select(
-        run_col, "ts", "line_no", "msg", F.when(is_start, 1).alias("_is_start"), F.when(is_end, 1).alias("_is_end"))
+    marked = written(events.filter(is_start | is_end).select(
+        run_col, "ts", "line_no", "msg", F.when(is_start, 1).alias("_is_start"), F.when(is_end, 1).alias("_is_end")))
     placed = global_running(marked, ["ts", "line_no", "msg"], [run_col],
                             {"_starts": F.count("_is_start"), "_ends": F.count("_is_end")})
     sides = F.array(F.struct(F.col("_starts").alias("n"), (F.col("_is_start") == 1).alias("there"), F.lit("start").alias("side")),

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stepfold.session import ensure_checkpoint_dir
+
 
 def first_k(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int,
             rank_col: str = "rn") -> DataFrame:
@@ -34,6 +36,13 @@ def range_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder; for narrow
+    derived rows that several passes read (never for texts)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 SAMPLED_KEYS = 64  # keys sampled per bucket to find the bucket ends
 
 
@@ -122,7 +131,7 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: S
 
     Equal values are counted before the shuffle and ranked range by range, so a
     hot group is spread over tasks; a group without values has nulls."""
-    counts = df.groupBy(*group, value).agg(F.count(value).alias("_n"))
+    counts = written(df.groupBy(*group, value).agg(F.count(value).alias("_n")))
     ranked = global_running(counts, [value], group, {"_before": F.sum("_n")})
     totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total")).select(
         *[F.col(g).alias(f"_t{i}") for i, g in enumerate(group)], "_total")

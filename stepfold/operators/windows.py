@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepfold.operators.common import global_index, global_last, global_running
+from stepfold.operators.common import global_index, global_last, global_running, written
 
 
 def _segments(df: DataFrame, key: Sequence[str], order: Sequence[str], iter_col: str, skip: int,
@@ -38,6 +38,7 @@ def running_averages(steps: DataFrame, metrics: Sequence[str], key: Sequence[str
 
     Defaults of the reference config: skip 2, reset 10.
     """
+    steps = written(steps.select(*key, *[c for c in order if c not in key], iter_col, *metrics))
     base = steps if legacy else steps.filter(F.col(iter_col) > skip)
     seg = _segments(base, key, order, iter_col, skip, reset)
     w = Window.partitionBy(*key, "_seg", "_block").orderBy(*order) \

@@ -1,8 +1,10 @@
-"""Structured Streaming versions of the log jobs (STR1, STR2, STR5).
+"""Structured Streaming versions of the log jobs (STR1-STR5).
 
 The parsers are the batch expressions applied unchanged to a streaming line
-table; stateful running averages keep (sum, count, segment, block) per file
-in ``applyInPandasWithState`` state, so a restart resumes from the checkpoint.
+table. The stateful jobs keep a few values per key in ``applyInPandasWithState``
+state, so a restart resumes from the checkpoint. A key's rows of one micro-batch
+are put in order before use (``maxFilesPerTrigger`` bounds a micro-batch); rows
+of an earlier line that arrive in a later micro-batch are taken as they come.
 """
 
 from __future__ import annotations
@@ -42,18 +44,120 @@ def stream_running_averages(steps: DataFrame, skip: int = 2, reset: int = 10) ->
         if state.exists:
             s, n, _, last = state.get
         out = []
-        for pdf in pdfs:
-            for r in pdf.sort_values("line_no").itertuples(index=False):
-                it = int(r.iter)
+        for r in pd.concat(pdfs).sort_values("line_no").itertuples(index=False):
+            it = int(r.iter)
+            avg = None
+            if it > skip:
                 if it == skip + 1 or n >= reset:
                     s, n = 0.0, 0
-                avg = None
-                if it > skip:
-                    s, n = s + float(r.elapsed_ms), n + 1
-                    avg = s / n
-                out.append((r.path, int(r.line_no), it, float(r.elapsed_ms), avg))
-                last = it
+                s, n = s + float(r.elapsed_ms), n + 1
+                avg = s / n
+            out.append((r.path, int(r.line_no), it, float(r.elapsed_ms), avg))
+            last = it
         state.update((s, n, n, last))
         yield pd.DataFrame(out, columns=["path", "line_no", "iter", "elapsed_ms", "elapsed_ms_avg"])
     return steps.select("path", "line_no", "iter", "elapsed_ms").groupBy("path").applyInPandasWithState(
         fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_carry_forward(rows: DataFrame, value: str, sampled: str, key: str, order: str) -> DataFrame:
+    """STR3: WIN3 with the last sampled value of each key in state. Output
+    (key, order, value, carried); NULL before the first sample."""
+    types = dict(rows.dtypes)
+
+    def fn(group, pdfs, state):
+        import pandas as pd
+        last = state.get[0] if state.exists else None
+        out = []
+        for at, v, taken in pd.concat(pdfs).sort_values(order)[[order, value, sampled]].itertuples(index=False):
+            if taken and pd.notna(v):
+                last = float(v)
+            out.append((group[0], at, v, last))
+        if last is not None:
+            state.update((last,))
+        yield pd.DataFrame(out, columns=[key, order, value, "carried"])
+    schema = f"`{key}` {types[key]}, `{order}` {types[order]}, `{value}` double, carried double"
+    return rows.select(key, order, F.col(value).cast("double").alias(value), sampled).groupBy(key).applyInPandasWithState(
+        fn, schema, "last double", "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_dedup_steps(steps: DataFrame, time: str = "ts", delay: str = "10 minutes",
+                       keys: tuple[str, ...] = ("path", "iter"), order: str = "line_no") -> DataFrame:
+    """STR4: a step logged more than once is emitted once, as its last line, when
+    the watermark has passed the step's latest log time by ``delay``; state is
+    one row per open step. A step logged again after that is emitted again."""
+    fields = [f for f in steps.schema.fields if f.name not in keys]
+    names = [f.name for f in fields]
+    at, when = names.index(order), names.index(time)
+
+    def fn(group, pdfs, state):
+        import pandas as pd
+        if state.hasTimedOut:
+            held = state.get
+            state.remove()
+            yield pd.DataFrame([(*group, *held[:-1])], columns=[*keys, *names])
+            return
+        held = tuple(state.get) if state.exists else None
+        for pdf in pdfs:
+            newest = pdf[names].sort_values(order).astype(object).iloc[-1]
+            row = tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in newest)
+            latest = int(pdf[time].max().timestamp() * 1000)
+            if held is None or row[at] >= held[at]:
+                held = (*row, max(latest, held[-1] if held else latest))
+            else:
+                held = (*held[:-1], max(latest, held[-1]))
+        state.update(held)
+        state.setTimeoutTimestamp(max(held[-1], state.getCurrentWatermarkMs() + 1))
+    types = {f.name: f.dataType.simpleString() for f in steps.schema.fields}
+    body = ", ".join(f"`{n}` {types[n]}" for n in names)
+    out = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", " + body
+    return (steps.withWatermark(time, delay).groupBy(*keys).applyInPandasWithState(
+        fn, out, body + ", _latest_ms long", "append", GroupStateTimeout.EventTimeTimeout))
+
+
+def stream_interval_loss(parts: DataFrame, log_interval: int, time: str = "ts", delay: str = "10 minutes", run: str = "run") -> DataFrame:
+    """STR5: AGG22 over a stream of (run, iter, key, num, den, skipped, time). The
+    counters of an interval are emitted once the watermark has passed its latest
+    log time by ``delay``, and its state is dropped. State holds a sum per
+    (iteration, key) and two flags per iteration: ``log_interval`` iterations at most."""
+    run_type = dict(parts.dtypes)[run]
+
+    def rows(group, iters, sums):
+        advanced = sum(not skipped for skipped, _ in iters.values())
+        skipped = len(iters) - advanced
+        bad = sum(s and b for s, b in iters.values())
+        for key in sorted({k for _, k in sums}):
+            total = sum(v for (i, k), v in sums.items() if k == key and not iters[i][0])
+            avg = total / max(1, advanced)
+            yield (*group, key, avg if avg > 0 else None, advanced, skipped, bad)
+
+    def fn(group, pdfs, state):
+        import pandas as pd
+        names = [run, "interval", "key", "avg_loss", "advanced", "skipped_iters", "nan_iters"]
+        iters, sums, latest = {}, {}, 0
+        if state.exists:
+            at, skipped, bad, of, keys, values, latest = state.get
+            iters = {i: (s, b) for i, s, b in zip(at, skipped, bad)}
+            sums = {(i, k): v for i, k, v in zip(of, keys, values)}
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame(list(rows(group, iters, sums)), columns=names)
+            return
+        for pdf in pdfs:
+            for i, k, value, skipped, bad, ms in zip(pdf["iter"], pdf["key"], pdf["value"], pdf["skipped"], pdf["bad"], pdf["ms"]):
+                was = iters.get(int(i), (False, False))
+                iters[int(i)] = (was[0] or bool(skipped), was[1] or bool(bad))
+                sums[int(i), k] = sums.get((int(i), k), 0.0) + float(value)
+                latest = max(latest, int(ms))
+        state.update(([*iters], [s for s, _ in iters.values()], [b for _, b in iters.values()],
+                      [i for i, _ in sums], [k for _, k in sums], [*sums.values()], latest))
+        state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs() + 1))
+    den = F.coalesce(F.col("den"), F.lit(1.0))
+    flat = parts.withWatermark(time, delay).select(
+        run, F.floor((F.col("iter") - 1) / log_interval).cast("long").alias("interval"), F.col("iter").cast("long").alias("iter"), "key",
+        F.coalesce(F.col("num") / den, F.lit(0.0)).alias("value"), F.coalesce("skipped", F.lit(False)).alias("skipped"),
+        F.coalesce(F.isnan("num") | (F.abs("num") == float("inf")), F.lit(False)).alias("bad"), F.unix_millis(time).alias("ms"), time)
+    return flat.groupBy(run, "interval").applyInPandasWithState(
+        fn, f"`{run}` {run_type}, interval long, key string, avg_loss double, advanced long, skipped_iters long, nan_iters long",
+        "iters array<long>, skipped array<boolean>, bad array<boolean>, of array<long>, keys array<string>, sums array<double>, latest long",
+        "append", GroupStateTimeout.EventTimeTimeout)
