@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv", append: bool = False, compression: str | None = None):
+def write_report(df: DataFrame, path: str, fmt: str = "csv", append: bool = False, compression: str | None = None,
+                 order: Sequence[str] = ()):
     """SNK1: table to csv / tsv / jsonl (optionally compressed), header once.
-    Distributed write (one file per partition); Markdown is ``to_markdown``."""
+    Distributed write (one file per partition); Markdown is ``to_markdown``.
+    SRT1: with ``order`` the rows are sorted over all files, in file order."""
     mode = "append" if append else "overwrite"
+    df = df.orderBy(*order) if order else df
     w = df.write.mode(mode)
     if compression:
         w = w.option("compression", compression)
@@ -23,9 +26,10 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", append: bool = Fals
         raise ValueError(f"unsupported format {fmt}")
 
 
-def to_markdown(df: DataFrame, max_rows: int = 1000, preamble: str | None = None) -> str:
-    """SNK1 Markdown: rendering of an already aggregated frame on the driver. A
-    frame over ``max_rows`` is refused, never cut; ``write_report`` writes those."""
+def to_markdown(df: DataFrame, max_rows: int = 1000, preamble: str | None = None, order: Sequence[str] = ()) -> str:
+    """SNK1 Markdown: rendering of an already aggregated frame on the driver, sorted
+    by ``order`` (SRT1). A frame over ``max_rows`` is refused, never cut; ``write_report`` writes those."""
+    df = df.orderBy(*order) if order else df
     cols = df.columns
     lines = [preamble, ""] if preamble else []
     lines.append("| " + " | ".join(cols) + " |")

@@ -68,3 +68,53 @@ def read_file_sizes(spark: SparkSession, root: str) -> DataFrame:
 def read_gemm_dump_files(spark: SparkSession, path: str) -> DataFrame:
     """SRC8: a file or a whole tree of dumped command lines."""
     return spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("line"))
+
+
+# The series of a pipeline dump.
+SERIES = ("fwd", "bwd", "wgrad")
+
+
+def read_pipeline_dump(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """SRC6: every dump folder below ``root``, which holds ``config.json`` and
+    ``pp_rank_<r>.json`` (an object of iterations), as (config, events).
+
+    Config: (task, pp_size, vp_size, num_mbs); older names ``vpp_size`` and
+    ``micro_batches`` stand in where the newer ones are absent. Events: the table
+    of ``operators.timeline``, one row for each start and end of a series;
+    ``minibatch`` and ``chunk`` are null where a dump has none. The task is the folder.
+    """
+    task = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("task")
+    def whole(names: str) -> DataFrame:
+        return spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=names)
+
+    config = whole("config.json").select(
+        task, F.from_json("value", "pp_size int, vp_size int, vpp_size int, num_mbs int, micro_batches int").alias("c"))
+    config = config.select("task", "c.pp_size", F.coalesce("c.vp_size", "c.vpp_size").alias("vp_size"),
+                           F.coalesce("c.num_mbs", "c.micro_batches").alias("num_mbs"))
+    parts = ", ".join(f"{s}_start array<double>, {s}_end array<double>, {s}_minibatch array<int>, {s}_chunk array<int>" for s in SERIES)
+    dumps = whole("pp_rank_*.json").select(
+        task, F.regexp_extract(F.col("_metadata.file_name"), r"pp_rank_(\d+)", 1).cast("int").alias("pp_rank"),
+        F.explode(F.from_json("value", f"map<string, struct<total double, memory double, {parts}>>")).alias("iter", "d"))
+
+    def rows(name: str):
+        lists = [F.coalesce(f"d.{name}_{c}", F.array().cast(f"array<{t}>")) for c, t in
+                 (("start", "double"), ("end", "double"), ("minibatch", "int"), ("chunk", "int"))]
+        return F.transform(F.arrays_zip(*lists), lambda z, i: F.struct(
+            F.lit(name).alias("series"), i.alias("ord"), z["0"].alias("start_ms"), z["1"].alias("end_ms"),
+            z["2"].alias("minibatch"), z["3"].alias("chunk")))
+
+    events = dumps.select("task", F.col("iter").cast("int").alias("iter"), "pp_rank", "d.total", "d.memory",
+                          F.inline(F.flatten(F.array(*[rows(s) for s in SERIES]))))
+    return config, events.filter("start_ms IS NOT NULL")
+
+
+def read_shape_catalog(spark: SparkSession, path: str, models: Sequence[str] = (), skip_models: Sequence[str] = ()) -> DataFrame:
+    """SRC12: attention shapes from a JSON list. ``models`` keeps those only
+    (empty: all), ``skip_models`` drops some; shapes whose query and key lengths differ go."""
+    shapes = spark.read.option("multiLine", "true").schema(
+        "model string, seqlen_q long, seqlen_kv long, num_head_q int, num_head_kv int, "
+        "head_dim_qk int, head_dim_v int, causal boolean").json(path)
+    shapes = shapes.withColumn("model", F.coalesce("model", F.lit(""))).filter("seqlen_q = seqlen_kv")
+    if models:
+        shapes = shapes.filter(F.col("model").isin(*models))
+    return shapes.filter(~F.col("model").isin(*skip_models)) if skip_models else shapes

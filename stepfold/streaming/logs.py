@@ -19,7 +19,7 @@ from stepfold.operators import trainlog as T
 def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
     """STR1 source: new log files of a folder as (path, line_no, line); each
     file is read whole (rotated logs are bounded)."""
-    df = spark.readStream.option("wholetext", "true").text(folder)
+    df = spark.readStream.text(folder, wholetext=True)
     df = df.select(F.col("_metadata.file_path").alias("path"), "value")
     return df.select("path", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n"))
                      .alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))

@@ -1,5 +1,6 @@
 """Round trips of file sources, sinks and streams in fresh temporary folders."""
 
+import json
 import os
 import tempfile
 
@@ -118,3 +119,62 @@ def test_stream_running_averages(spark):
     rows = spark.sql("select * from run_avg order by line_no").collect()
     assert len(rows) == 14
     assert rows[0].elapsed_ms_avg is None and rows[2].elapsed_ms_avg == 6046.6
+    assert [r.line_no for r in rows] == list(range(0, 28, 2))
+
+
+def test_pipeline_dump_with_old_and_new_names(spark):
+    from stepfold.operators import timeline as TL
+    d = tempfile.mkdtemp(prefix="stepfold-dump-")
+    configs = {"new": {"pp_size": 2, "vp_size": 1, "num_mbs": 2}, "old": {"pp_size": 2, "vpp_size": 1, "micro_batches": 2}}
+    for name, config in configs.items():
+        os.makedirs(os.path.join(d, name))
+        with open(os.path.join(d, name, "config.json"), "w") as fh:
+            json.dump(config, fh, indent=1)
+        for r in range(2):
+            it = {"total": 20.0 + r, "memory": 3.5, "fwd_start": [0, 5], "fwd_end": [4, 9], "bwd_start": [10, 13], "bwd_end": [12.5, 15]}
+            if name == "new":
+                it |= {"wgrad_start": [16], "wgrad_end": [17], "fwd_minibatch": [0, 1], "fwd_chunk": [0, 0]}
+            with open(os.path.join(d, name, f"pp_rank_{r}.json"), "w") as fh:
+                json.dump({"1": it, "2": it}, fh)
+    config, events = S.read_pipeline_dump(spark, d)
+    assert sorted(map(tuple, config.collect())) == [("new", 2, 1, 2), ("old", 2, 1, 2)]
+    assert events.count() == 2 * 2 * (4 + 5)
+    one = events.filter("task = 'new' AND iter = 2 AND pp_rank = 1 AND series = 'fwd'").orderBy("ord").collect()
+    assert [(r.start_ms, r.end_ms, r.minibatch, r.total) for r in one] == [(0.0, 4.0, 0, 21.0), (5.0, 9.0, 1, 21.0)]
+    bubble = {(r.task, r.iter, r.pp_rank): r for r in TL.pipeline_bubble(events, 1, 2).collect()}
+    assert len(bubble) == 8
+    r = bubble["old", 1, 0]
+    assert (r.iter_ms, r.f_ms, r.b_ms, r.w_ms) == (21.0, 8.0, 4.5, 0.0)
+
+
+def test_shape_catalog(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="stepfold-shapes-"), "shapes.json")
+    with open(path, "w") as fh:
+        json.dump([{"model": m, "seqlen_q": q, "seqlen_kv": 64, "num_head_q": 8} for m, q in (("a", 64), ("b", 64), ("c", 32), ("d", 64))], fh)
+    names = lambda **kw: sorted(r.model for r in S.read_shape_catalog(spark, path, **kw).collect())
+    assert names() == ["a", "b", "d"]
+    assert names(models=["a", "c", "d"], skip_models=["d"]) == ["a"]
+
+
+def test_traces_read_merged_and_written(spark):
+    d = tempfile.mkdtemp(prefix="stepfold-trace-")
+    for i in range(2):
+        with open(os.path.join(d, f"t{i}.json"), "w") as fh:
+            json.dump({"traceEvents": [{"name": f"k{i}", "ts": j, "ph": "X"} for j in range(3)]}, fh, indent=1)
+    events = S.read_profiler_traces(spark, d)
+    assert sorted((r.file, r.event["name"], r.event["ts"]) for r in events.collect()) == [(f"t{i}.json", f"k{i}", j) for i in range(2) for j in range(3)]
+    R.write_merged_trace(events.select("event.*"), os.path.join(d, "merged"))
+    assert spark.read.json(os.path.join(d, "merged")).count() == 6
+
+
+def test_token_corpus_and_sorted_report(spark):
+    d = tempfile.mkdtemp(prefix="stepfold-corpus-")
+    df = spark.createDataFrame([("text", s, i, [i, i + 1]) for i in range(6) for s in [i % 2]], "key string, shard int, doc_id long, tokens array<int>")
+    R.write_token_corpus(df, os.path.join(d, "c"))
+    back = spark.read.parquet(os.path.join(d, "c"))
+    assert back.filter("level = 'document' AND shard = 1").count() == 3
+    R.write_report(df.select("doc_id").repartition(4), os.path.join(d, "r"), "csv", order=["doc_id"])
+    files = sorted(f for f in os.listdir(os.path.join(d, "r")) if f.startswith("part-"))
+    got = [int(x) for f in files for x in open(os.path.join(d, "r", f)).read().split()[1:]]
+    assert got == list(range(6))
+    assert R.to_markdown(df.select("doc_id"), order=["doc_id"]).splitlines()[2:] == [f"| {i} |" for i in range(6)]
