@@ -11,6 +11,10 @@ MODEL_CONFIGS = {
     "Llama2_7B": (4096, 4096, 11008, 32, 32, 128, 32000),
     "Llama2_70B": (4096, 8192, 28672, 64, 8, 128, 32000),
     "Llama3.1_8B": (8192, 4096, 14336, 32, 8, 128, 128256),
+    "Llama3.1_70B": (8192, 8192, 28672, 64, 8, 128, 128256),
+    "Llama3.1_405B": (8192, 16384, 53248, 128, 8, 128, 128256),
+    "Mistral_8x7B": (4096, 4096, 14336, 32, 8, 128, 32000),
+    "Mistral_8x22B": (4096, 6144, 16384, 48, 8, 128, 32000),
 }
 SHAPES = ["attn_qkv", "attn_out", "mlp_up", "mlp_down", "vocab"]
 PHASES = ["fwd", "wgrad", "dgrad"]

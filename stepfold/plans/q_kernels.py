@@ -31,7 +31,7 @@ def v_kernel_results(spark, sf_dir):
     """(host, rank, model, shape, phase, mbs, dtype, ms); the model name is
     written in varying case (the lookup is case-insensitive)."""
     li = table(spark, sf_dir, "lineitem")
-    model = F.element_at(_arr(MODELS), (F.col("l_partkey") % 3 + 1).cast("int"))
+    model = F.element_at(_arr(MODELS), (F.col("l_partkey") % len(MODELS) + 1).cast("int"))
     model = F.when(F.col("l_orderkey") % 5 == 0, F.upper(model)).otherwise(model)
     # the last shape, 'vocab', is never measured
     shape = F.element_at(_arr(KB.SHAPES), (F.col("l_linenumber") % 4 + 1).cast("int"))
@@ -61,7 +61,7 @@ ex AS (SELECT sh.*, p.phase, b.mbs, b.mbs * s0 AS m FROM sh, (VALUES ('fwd'), ('
        (VALUES (1), (2)) b(mbs)),
 kr AS (
   SELECT 'node' || CAST(l_suppkey % 4 AS VARCHAR) AS host, CAST(l_suppkey % 8 AS INTEGER) AS rank,
-         {str(MODELS).replace('"', "'")}[l_partkey % 3 + 1] AS model,
+         {str(MODELS).replace('"', "'")}[l_partkey % {len(MODELS)} + 1] AS model,
          {str(KB.SHAPES).replace('"', "'")}[l_linenumber % 4 + 1] AS shape,
          ['fwd', 'wgrad', 'dgrad'][l_orderkey % 3 + 1] AS phase, CAST(l_orderkey % 2 + 1 AS INTEGER) AS mbs,
          l_extendedprice / 1000 AS ms
@@ -92,7 +92,7 @@ def q_benchmark_coverage(spark, sf_dir):
 
 
 @register("attention_flops", f"""WITH {CAT}, t AS (
-  SELECT {str(MODELS).replace('"', "'")}[l_partkey % 3 + 1] AS model, l_linenumber AS batch, avg(l_extendedprice) / 1e6 AS fwd_s,
+  SELECT {str(MODELS).replace('"', "'")}[l_partkey % {len(MODELS)} + 1] AS model, l_linenumber AS batch, avg(l_extendedprice) / 1e6 AS fwd_s,
          avg(l_extendedprice + 1000 * l_quantity) / 1e6 AS all_s FROM lineitem GROUP BY ALL),
 a AS (SELECT model, batch, fwd_s, 2.0 * batch * seqlen * seqlen * heads * (hd + hd) / 1e12 * 0.5 AS tflop_fwd,
   greatest(all_s - fwd_s, 1e-12) AS bwd_s FROM t JOIN cat USING (model))
@@ -102,7 +102,7 @@ FROM a""")
 def q_attention_flops(spark, sf_dir):
     """Attention cases measured per model and batch size; times from lineitem."""
     li = table(spark, sf_dir, "lineitem")
-    times = li.groupBy(F.element_at(_arr(MODELS), (F.col("l_partkey") % 3 + 1).cast("int")).alias("model"),
+    times = li.groupBy(F.element_at(_arr(MODELS), (F.col("l_partkey") % len(MODELS) + 1).cast("int")).alias("model"),
                        F.col("l_linenumber").alias("batch")).agg(
         (F.avg("l_extendedprice") / 1e6).alias("fwd_s"),
         (F.avg(F.col("l_extendedprice") + 1000 * F.col("l_quantity")) / 1e6).alias("fwd_bwd_s"))
