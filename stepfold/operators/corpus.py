@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepfold.operators.common import exclusive_prefix_sum, global_index, global_prefix_sum, global_running
+from stepfold.operators.common import exclusive_prefix_sum, global_index, global_prefix_sum, global_running, written
 
 # Fixed rules of the default splitter and tokenizer (ours; the trained
 # sentence model and subword vocabularies are external artefacts).
@@ -159,8 +159,11 @@ def fixed_length_samples(encoded: DataFrame, seq_len: int, order_key: Column, ep
 
     Output: (sample_id, tokens, doc_ids) with one doc id per token.
     """
-    docs = encoded.filter(F.col("n_tokens") > 0).withColumn("_ok", order_key).withColumn("epoch", F.lit(epoch))
-    off = global_prefix_sum(docs.select("doc_id", "_ok", "n_tokens", "tokens"), ["_ok", "doc_id"], "n_tokens", "offset")
+    ids = [c for c in ("doc_id", "key") if c in encoded.columns]  # unique together
+    docs = encoded.withColumn("epoch", F.lit(epoch)).withColumn("_ok", order_key)
+    # offsets come from the lengths alone; the tokens move once, to meet them
+    lengths = written(docs.select(*ids, "_ok", "n_tokens")).filter(F.col("n_tokens") > 0)
+    off = encoded.select(*ids, "tokens").join(global_prefix_sum(lengths, ["_ok", *ids], "n_tokens", "offset"), ids)
     first = F.floor(F.greatest(F.col("offset") - 1, F.lit(0)) / seq_len).cast("long")
     last = F.floor((F.col("offset") + F.col("n_tokens") - 1) / seq_len).cast("long")
 
@@ -173,7 +176,7 @@ def fixed_length_samples(encoded: DataFrame, seq_len: int, order_key: Column, ep
     # cut in the row: only pieces are exploded, never a document's whole token array
     pieces = off.select("doc_id", F.explode(F.transform(F.sequence(first, last), piece)).alias("z")) \
         .select("z.sample_id", "z.start", "z.piece", "doc_id").filter(F.size("piece") > 0)
-    total = docs.agg(F.sum("n_tokens").alias("_total"))
+    total = lengths.agg(F.sum("n_tokens").alias("_total"))
     # a sample exists when it has at least one label token (seq_len + 1 tokens overall)
     grouped = pieces.groupBy("sample_id").agg(
         F.sort_array(F.collect_list(F.struct("start", "piece", "doc_id"))).alias("_p"))
