@@ -3,7 +3,7 @@
 Grades 0 < 1 < .. < K-1 share one weight vector w over hashed features x and have
 ordered thresholds t_1 < .. < t_{K-1}: P(grade >= k) = sigmoid(w.x - t_k). The
 expected grade is the sum of these tails, and a document is selected if its tail
-at ``cut`` reaches ``least``.
+at ``cut`` reaches ``least`` and, if marks of toxic texts are given, its text holds none.
 
 Features are the words of the whole text, their letter case and punctuation
 shape, and the number of words that repeat the word before; x is their count
@@ -13,7 +13,7 @@ the id, and weighted back to the grades' true shares.
 
 Null and empty texts have x = 0 and are scored by the thresholds alone. Grades
 that are null teach nothing. If fewer than two grades occur, there is nothing to
-separate: every document has tail 1 and is selected.
+separate: every document has tail 1 and only marks reject it.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepfold.llm.common import annotate, texts, type_of
+from stepfold.llm.toxic import Marks
 
 BUCKETS = 1 << 16
 MAX_ROWS = 6_000
@@ -176,17 +177,20 @@ def train(df: DataFrame, id_col: str, text_col: str, grade_col: str, max_rows: i
 
 
 def score(df: DataFrame, text_col: str, model: OrdinalModel | None, cut: int, least: float, carry: list[str],
-          names: tuple[str, str, str] = ("expected_grade", "tail", "selected")) -> DataFrame:
-    """The columns ``carry``, the expected grade, tail = P(grade >= cut) and whether it reaches ``least``, for every whole text."""
+          names: tuple[str, str, str] = ("expected_grade", "tail", "selected"), marks: Marks | None = None) -> DataFrame:
+    """The columns ``carry``, the expected grade, tail = P(grade >= cut) and whether it reaches ``least`` in a text without ``marks``, for every whole text."""
+    strengths = marks.strengths if marks else {}
+
     def worker():
-        words = _WordScores(model.weights) if model else None
+        words, marked = _WordScores(model.weights) if model else None, Marks(strengths)
 
         def work(some: list[str]) -> list[pa.Array]:
+            clear = np.array([not strengths or marked.strength(t) == -np.inf for t in some], dtype=bool)
             if not model:
-                return [pa.array(np.zeros(len(some))), pa.array(np.ones(len(some))), pa.array(np.ones(len(some), dtype=bool))]
+                return [pa.array(np.zeros(len(some))), pa.array(np.ones(len(some))), pa.array(clear)]
             tails = model.tails(np.array([linear_score(t, words) for t in some], dtype=np.float64))
             tail = tails[:, min(cut, tails.shape[1]) - 1]
-            return [pa.array(tails.sum(axis=1)), pa.array(tail), pa.array(tail >= least)]
+            return [pa.array(tails.sum(axis=1)), pa.array(tail), pa.array((tail >= least) & clear)]
         return work
 
     return annotate(df, text_col, carry, list(zip(names, ("double", "double", "boolean"))), worker)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepfold.llm import bpe, langid, neardup_vectors, packing, pii, quality, sharding, simhash, topk, urlfilter
+from stepfold.llm import bpe, langid, neardup_vectors, packing, pii, quality, sharding, simhash, topk, toxic, urlfilter
 from stepfold.llm.common import table
 
 SEQUENCE, END_ID = 1024, 0
@@ -27,16 +27,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with a grade: 0 poor, 1 fair but toxic, 2 good. Contradicting labels of one document count as the worse."""
+    """Documents with a grade: 0 poor, 1 fair but toxic, 2 good, and their label ``toxic``. Contradicting labels of one document count as the worse."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
-    grades = labels.select("doc_id", grade.alias("grade")).groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    grades = labels.select("doc_id", grade.alias("grade"), "toxic").groupBy("doc_id").agg(F.min("grade").alias("grade"), F.max("toxic").alias("toxic"))
     return docs.select("doc_id", "text").join(grades, "doc_id")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = quality.train(graded(docs, table(spark, sf_dir, "labels")), "doc_id", "text", "grade")
-    return quality.score(docs, "text", model, GRADE_CUT, LEAST_TAIL, ["doc_id"])
+    rows = graded(docs, table(spark, sf_dir, "labels"))
+    model, marks = quality.train(rows, "doc_id", "text", "grade"), toxic.learn(rows, "doc_id", "text", "toxic")
+    return quality.score(docs, "text", model, GRADE_CUT, LEAST_TAIL, ["doc_id"], marks=marks)
 
 
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
