@@ -9,6 +9,9 @@ that are open at the end of a task are leftovers; groups of tasks of bounded
 size merge theirs in the same way and then end to end, so at most one
 window of a group is padded by more than that.
 
+The added tokens of the vocabulary file (end-of-document marks, say) that stand in a
+text are plain text, or with ``added`` one id each, as the tokenizers library has it.
+
 A null text is empty and packs its end-of-document id alone. Rows that repeat
 an id or a text are packed like others; a null id stays null.
 """
@@ -16,6 +19,7 @@ an id or a text are packed like others; a null id stays null.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -47,18 +51,35 @@ def _byte_signs() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class AddedTokens:
+    """Encodes texts that may hold added tokens: each is its own id, and only what lies between is merged."""
+
+    def __init__(self, between: Encoder, ids: dict[str, int]):
+        self.between, self.ids = between.encode, {t: np.array([i], dtype="<u4").tobytes() for t, i in ids.items()}
+        self.split = re.compile("(" + "|".join(re.escape(t) for t in sorted(ids, key=len, reverse=True)) + ")").split
+
+    def encode(self, text: str) -> bytes:
+        parts = self.split(text)
+        if len(parts) == 1:
+            return self.between(text)
+        return b"".join(self.ids[p] if i % 2 else self.between(p) for i, p in enumerate(parts) if p)
+
+
 @lru_cache(maxsize=2)
-def json_encoder(path: str, pattern: str) -> Encoder:
+def json_encoder(path: str, pattern: str, added: bool = False) -> Encoder | AddedTokens:
     """The vocabulary of a byte-level BPE file of the tokenizers library, whose ids
     rise with the order of its merges; the merging itself is tiktoken's, which
     gives the same ids and is several times faster."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    if added and any(t[flag] for t in spec.get("added_tokens", []) for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path}: added tokens that take in or depend on their neighbours")
     signs = _byte_signs()
     ranks = {bytes(signs[s] for s in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     ids_of = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return Encoder(lambda part: array("I", ids_of(part)).tobytes())
+    plain = Encoder(lambda part: array("I", ids_of(part)).tobytes())
+    return AddedTokens(plain, special) if added and special else plain
 
 
 class Packer:
@@ -147,14 +168,15 @@ class _Rows:
         return out
 
 
-def pack(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str, length: int, end_id: int, windows: int = WINDOWS) -> DataFrame:
+def pack(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str, length: int, end_id: int, windows: int = WINDOWS,
+         added: bool = False) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset): the pieces of all documents."""
     id_type = type_of(df, id_col)
     schema = f"id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = json_encoder(path, pattern).encode, None
+        encode, packer = json_encoder(path, pattern, added).encode, None
         for batch in batches:
             if packer is None:
                 rows = _Rows(batch.column(0).type, TaskContext.get().partitionId() * EACH_TASK)

@@ -55,7 +55,7 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, "doc_id", "text", path, public_tokenizers.PATTERN, SEQUENCE, END_ID).withColumnRenamed("id", "doc_id")
+    return packing.pack(docs, "doc_id", "text", path, public_tokenizers.PATTERN, SEQUENCE, END_ID, added=True).withColumnRenamed("id", "doc_id")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
