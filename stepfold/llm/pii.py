@@ -1,7 +1,8 @@
 """Personal data by weak supervision, with DataFrame and SQL functions only.
 
 Base spans come from four patterns with their checks (``BASE``). Further
-candidates, assignments and long identifiers that may be credentials, are voted
+candidates, assignments, identifiers with an issuer's prefix and long ones that mix
+letters and digits, which may be credentials, are voted
 on by regex, gazetteer and context labelers, each of which may abstain.
 Expectation-maximisation over the table of vote patterns (two classes, labelers
 independent given the class) estimates the labelers' reliabilities, and its
@@ -29,7 +30,12 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-CANDIDATE = r'(?<![A-Za-z0-9_-])[A-Za-z_-]{2,24} ?[=:] ?"?[^\s"=:]{8,}+"?|(?<![A-Za-z0-9])[A-Z0-9]{16,}+(?![A-Za-z0-9])'
+ISSUED_PREFIXES = "AKIA ASIA ghp_ gho_ github_pat_ sk- sk_live_ pk_live_ xoxb- xoxp- AIza".split()
+NAME = "[A-Za-z_-][A-Za-z0-9_-]{1,23}"
+CANDIDATE = (rf'(?<![A-Za-z0-9_-]){NAME} ?[=:] ?"?[^\s"=:]{{8,}}+"?'
+             rf"|(?<![A-Za-z0-9])(?:{'|'.join(ISSUED_PREFIXES)})[A-Za-z0-9_-]{{10,}}+"
+             r"|(?<![A-Za-z0-9])[A-Z0-9]{16,}+(?![A-Za-z0-9])"
+             r"|(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[a-z0-9]*+[A-Z])(?=[A-Z0-9]*+[a-z])[A-Za-z0-9]{16,}+")
 
 _LUHN = ("aggregate(sequence(1, length({d})), 0, (a, i) -> a + "
          "element_at(IF(i % 2 = 1, array(0, 1, 2, 3, 4, 5, 6, 7, 8, 9), array(0, 2, 4, 6, 8, 1, 3, 5, 7, 9)), "
@@ -49,7 +55,6 @@ ADDED = "secret"
 # Fixed word lists of the labelers.
 KEY_NAMES = ("password passwd pwd pass secret token apikey api_key api-key access_key auth auth_token bearer credential "
              "private_key client_secret session").split()
-ISSUED_PREFIXES = "AKIA ASIA ghp_ gho_ github_pat_ sk- sk_live_ pk_live_ xoxb- xoxp- AIza".split()
 CUES = "login user account credentials password secret token key".split()
 
 RUN = 512
@@ -87,9 +92,9 @@ def base_spans(df: DataFrame, text: str) -> DataFrame:
 def _candidates(df: DataFrame, text: str) -> DataFrame:
     """``df`` with candidates: (start, end, found, value, name, left), those that meet base spans left out."""
     met = " OR ".join(f"exists(base_{k}, b -> b.start < c.end AND c.start < b.end)" for k in BASE)
-    value = r"""regexp_replace(c.found, '^[A-Za-z_-]{2,24} ?[=:] ?"?|"$', '')"""
+    value = rf"""regexp_replace(c.found, '^{NAME} ?[=:] ?"?|"$', '')"""
     fields = (f"named_struct('start', c.start, 'end', c.end, 'found', c.found, 'value', {value}, "
-              r"'name', lower(regexp_extract(c.found, '^([A-Za-z_-]{2,24}) ?[=:]', 1)), "
+              rf"'name', lower(regexp_replace(regexp_extract(c.found, '^({NAME}) ?[=:]', 1), '[_-]?[0-9]+$', '')), "
               f"'left', lower(substring({text}, greatest(1, c.start - 23), least(24, c.start))))")
     found = df.withColumn("_found", F.expr(find_all(text, CANDIDATE, "{t} RLIKE " + _sql(CANDIDATE))))
     return found.withColumn("candidates", F.expr(f"transform(filter(_found, c -> NOT ({met})), c -> {fields})")).drop("_found")
