@@ -110,7 +110,7 @@ class BitPlanes:
 
 
 def _digits(radius: int) -> int:
-    return (radius + 1).bit_length()
+    return max(2, (radius + 1).bit_length())  # a triple of planes adds a bit of weight 2
 
 
 def _add(counters: list[np.ndarray], bits: list[np.ndarray]) -> None:
