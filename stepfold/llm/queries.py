@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepfold.llm import bpe, langid, neardup_vectors, packing, pii, quality, sharding, simhash, topk, toxic, urlfilter
+from stepfold.llm import (bpe, divergence, langid, neardup_vectors, packing, pii, quality, resample, sharding, simhash, slackpacking, topk,
+                          toxic, urlfilter)
 from stepfold.llm.common import table
 
 SEQUENCE, END_ID = 1024, 0
@@ -16,6 +17,9 @@ QUERY_EVERY, TOP = 50, 5
 SHARD_BYTES = 1 << 20
 SIMHASH_WORDS, SIMHASH_RADIUS = 4, 4
 GRADE_CUT, LEAST_TAIL = 1, 0.5
+LEAST_DOCS, TOP_TERMS = 30, 50
+NGRAM_WORDS, BUCKETS, SEED, LEAST_WORDS, DRAWN_PERCENT = (1, 1), 10_000, 2024, 20, 10
+LONG_SEQUENCE = 2048
 # host, path, verdict
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -100,15 +104,32 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), "page_id", "url", rules).withColumnRenamed("id", "page_id")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), "text", "lang", "source", LEAST_DOCS, TOP_TERMS)
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "text", *NGRAM_WORDS,
+                              BUCKETS, SEED, LEAST_WORDS, DRAWN_PERCENT)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return slackpacking.pack(table(spark, sf_dir, "documents"), "doc_id", "text", path, LONG_SEQUENCE, END_ID).withColumnRenamed("id", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op3_near_vectors, op4_top_k, op5_packing, op6_sharding, op7_simhash, op8_pii,
-                                   op9_language, op10_urls, pipeline)}
+                                   op9_language, op10_urls, op11_divergence, op12_resample, op13_slack_packing, pipeline)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS_SQL = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE = {
     "op3_near_vectors": f"""
 WITH RECURSIVE v AS (
@@ -148,4 +169,41 @@ f AS (SELECT page_id, host, path, rh || rp AS rule, v,
   FROM (SELECT DISTINCT page_id, host, path FROM u) JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
 SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.v, 'allow') AS verdict
 FROM u LEFT JOIN f ON f.n = 1 AND f.page_id IS NOT DISTINCT FROM u.page_id AND f.host = u.host AND f.path = u.path""",
+    "op11_divergence": f"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS i, {_LOWERED} AS t FROM documents),
+w AS (SELECT lang, source, i, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+vocabulary AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= {LEAST_DOCS}),
+own AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+c AS (SELECT g.lang, g.source, v.term, coalesce(own.n, 0) AS n, v.total FROM (SELECT DISTINCT lang, source FROM d) g
+  JOIN vocabulary v ON v.lang = g.lang LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.term = v.term),
+s AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g) AS p,
+    1 + (1000000000::HUGEINT * (total + 5)) // (sum(total) OVER g + 5 * count(*) OVER g) AS q FROM c WINDOW g AS (PARTITION BY lang, source)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(abs(x.p - y.p)) AS value FROM (SELECT DISTINCT lang, source FROM d) a
+  JOIN (SELECT DISTINCT lang, source FROM d) b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s x ON x.lang = a.lang AND x.source = a.source LEFT JOIN s y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source),
+r AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM s WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r
+QUALIFY part = 'pair' OR rank <= {TOP_TERMS}""",
+    "op12_resample": f"""
+WITH crc_step AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT doc_id, row_number() OVER () AS i, {_WORDS_SQL} AS words FROM documents),
+b AS (SELECT {_WORDS_SQL} AS words FROM benchmark),
+f AS (SELECT i, unnest(words) AS word FROM d), g AS (SELECT unnest(words) AS word FROM b),
+h AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(word))),
+    lambda k: ('0x' || substr(hex(encode(word)), 2 * k + 1, 2))::BIGINT)),
+    lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]))) % {BUCKETS} AS bucket
+  FROM (SELECT word FROM f UNION SELECT word FROM g), crc_step),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN h USING (word) GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM g JOIN h USING (word) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + {BUCKETS})
+    / ((s + 1)::DOUBLE * ((SELECT count(*) FROM g) + {BUCKETS}))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT i, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM f JOIN h USING (word) JOIN gain USING (bucket) GROUP BY i),
+r AS (SELECT d.i, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+    (('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (i)),
+k AS (SELECT i, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM r WHERE n_features >= {LEAST_WORDS}
+  QUALIFY rank <= {DRAWN_PERCENT} * count(*) OVER () // 100)
+SELECT doc_id, n_features, weight, score, rank FROM r LEFT JOIN k USING (i)""",
 }
