@@ -7,7 +7,7 @@ import importlib
 from stepfold.plans.finalize import normalize_sql
 
 # Query modules, one per area of SURVEY §2.
-MODULES = ["q_logs", "q_bench", "q_ops", "q_router", "q_corpus", "q_catalog", "q_kernels"]
+MODULES = ["q_logs", "q_bench", "q_ops", "q_router", "q_corpus", "q_catalog", "q_kernels", "q_hlo"]
 
 
 def _load():

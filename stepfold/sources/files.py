@@ -1,4 +1,4 @@
-"""File sources (SRC1, SRC5, SRC7, SRC8, SRC9): everything lands as a
+"""File sources (SRC1, SRC5-SRC9, SRC11, SRC12): everything lands as a
 DataFrame planned by Spark; nothing is read on the driver."""
 
 from __future__ import annotations
@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stepfold.operators.hlo import own_lines
+
 
 def read_log_lines(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
     """SRC1: log files as ordered lines (path, line_no, line), line_no from 0.
@@ -70,6 +72,12 @@ def read_gemm_dump_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("line"))
 
 
+def read_hlo_dumps(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
+    """SRC11: dumps in HLO text, the lines of their computations as ``hlo.own_lines`` gives them; the dump is the file.
+    Files are read in blocks, so a dump of any size is split over tasks."""
+    return own_lines(read_log_lines(spark, path, glob=glob).withColumnRenamed("path", "dump"))
+
+
 # The series of a pipeline dump.
 SERIES = ("fwd", "bwd", "wgrad")
 
