@@ -43,7 +43,7 @@ EACH_TASK = 1 << 32  # sequence ids of one task or group
 
 
 @lru_cache(maxsize=1)
-def _byte_signs() -> dict[str, int]:
+def byte_signs() -> dict[str, int]:
     """The byte that each sign of a byte-level vocabulary file stands for: visible
     Latin-1 signs stand for themselves, the other bytes for signs from 256 on."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -75,7 +75,7 @@ def json_encoder(path: str, pattern: str, added: bool = False) -> Encoder | Adde
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     if added and any(t[flag] for t in spec.get("added_tokens", []) for flag in ("single_word", "lstrip", "rstrip")):
         raise ValueError(f"{path}: added tokens that take in or depend on their neighbours")
-    signs = _byte_signs()
+    signs = byte_signs()
     ranks = {bytes(signs[s] for s in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     ids_of = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     plain = Encoder(lambda part: array("I", ids_of(part)).tobytes())

@@ -18,56 +18,61 @@ id or a text are packed like others; a null id stays null. An empty table gives
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stepfold.llm.common import checkpointed, raw_texts, type_of
+from stepfold.llm.packing import byte_signs
 from stepfold.operators.common import global_index
 
-MAX_REMEMBERED, LONGEST_REMEMBERED = 400_000, 64  # chunks and words whose ids a task keeps, and their bytes at most
+MAX_REMEMBERED, LONGEST_REMEMBERED = 400_000, 64  # chunks whose ids a task keeps, and their bytes at most
+WORD_END, END_BYTE = "</w>", "\0"  # how the vocabulary marks the end of a word, and the byte that stands for it here
 
 
 class WordTokens:
     """Ids of whole texts by a tokenizer that drops white space and never joins across it.
 
-    A text is cut at ASCII white space, where no normalisation or match reaches across, and each
-    distinct chunk is encoded by the library once. A chunk of plain letters, digits and marks is looked up by its matches,
-    which many chunks share."""
+    A text is cut at ASCII white space, where no normalisation or match reaches across, and each distinct chunk is
+    encoded once. Chunks of ASCII and Latin-1 letters, digits and marks need only be lowered and cut into
+    matches, which tiktoken merges by the vocabulary's own order, an end byte standing for the end of a word; it gives the
+    same ids several times faster. All other chunks go to the tokenizers library itself."""
 
-    #: Chunks of ASCII and Latin-1 letters: lowered sign by sign, composed already, no added token ("<|") inside.
+    #: Lowered sign by sign, composed already, no added token ("<|") inside.
     PLAIN = re.compile("(?!.*<[|])[!-~À-ÖØ-öø-ÿ]+").fullmatch
     #: The matches of the vocabulary's pattern over such chunks when lowered.
     MATCHES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+").findall
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
+        signs = byte_signs()
+        ranks = {}
+        for token, i in vocabulary.items():
+            word = token.removesuffix(WORD_END)
+            ranks[bytes(signs[c] for c in word) + END_BYTE.encode() * (word != token)] = i
+        if len(ranks) != len(vocabulary):
+            raise ValueError(f"{path}: tokens that the end byte makes equal")
+        self.merge = tiktoken.Encoding("file", pat_str=f"[^{END_BYTE}]+{END_BYTE}", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        packed = self.words.get(word)
-        if packed is None:
-            packed = self._library(word)
-            if len(word) <= LONGEST_REMEMBERED:
-                if len(self.words) >= MAX_REMEMBERED:
-                    self.words.clear()
-                self.words[word] = packed
-        return packed
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
-        packed = b"".join(map(self._word, self.MATCHES(text.lower()))) if self.PLAIN(text) else self._library(text)
+        if self.PLAIN(text):
+            packed = array("I", self.merge(END_BYTE.join(self.MATCHES(text.lower())) + END_BYTE)).tobytes()
+        else:
+            packed = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(chunk) <= LONGEST_REMEMBERED:
             if len(self.chunks) >= MAX_REMEMBERED:
                 self.chunks.clear()
