@@ -21,9 +21,8 @@ import hashlib
 import math
 import re
 import struct
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -227,13 +226,14 @@ class _Words(dict):
 
 
 def transducer_parts(transducer: Transducer, pattern: str) -> Callable[[str], bytes]:
-    """Splits a part by the pattern and encodes each match."""
-    split, encode = regex.compile(pattern).findall, transducer.encode
+    """Splits a part by the pattern and encodes each match; matches are remembered, as words that
+    differ in the signs around them share theirs."""
+    split, known = regex.compile(pattern).findall, _Words(lambda match: transducer.encode(match.encode()))
 
     def encode_part(part: str) -> bytes:
         if part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
-            return encode(part.encode())  # one match
-        return b"".join([encode(p.encode()) for p in split(part)])
+            return known[part]  # one match
+        return b"".join([known[match] for match in split(part)])
 
     return encode_part
 
@@ -244,9 +244,28 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(transducer_parts(Transducer(load_ranks(path)), pattern))
 
 
+class TokenBytes:
+    """The bytes of all tokens in one buffer, from which those of many ids are gathered at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.size = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)  # 0: no token has this id
+        for token, rank in ranks.items():
+            self.size[rank] = len(token)
+        self.buffer = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
+        self.start = np.cumsum(self.size) - self.size
+
+    def __call__(self, ids: np.ndarray) -> bytes:
+        sizes = self.size[ids]
+        if not sizes.all():
+            raise ValueError("an id that no token has")
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.start[ids] - (ends - sizes), sizes)
+        return self.buffer[at + np.arange(len(at))].tobytes()
+
+
 @lru_cache(maxsize=4)
-def _tokens(path: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in load_ranks(path).items()}
+def _tokens(path: str) -> TokenBytes:
+    return TokenBytes(load_ranks(path))
 
 
 class Utf8Stream:
@@ -276,26 +295,44 @@ class Utf8Stream:
                 more = 0
         return held if more else 0
 
-    def feed(self, chunk: bytes) -> str:
+    def verified(self, chunk: bytes) -> bytes:
+        """The well-formed bytes up to the last finished character."""
         data = self._held + chunk
         start = max(0, len(data) - 4)
         while start < len(data) and start and data[start] & 0xC0 == 0x80:
             start += 1  # begin at a character
         keep = self._open(data[start:])
         self._held = data[len(data) - keep:]
-        return data[:len(data) - keep].decode("utf-8", "replace")
+        return _well_formed(data[:len(data) - keep])
 
-    def close(self) -> str:
+    def rest(self) -> bytes:
+        """What is left at the end of the stream."""
         held, self._held = self._held, b""
-        return held.decode("utf-8", "replace")
+        return _well_formed(held)
+
+    def feed(self, chunk: bytes) -> str:
+        return self.verified(chunk).decode()
+
+    def close(self) -> str:
+        return self.rest().decode()
+
+
+def _well_formed(data: bytes) -> bytes:
+    if data.isascii():
+        return data
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return data.decode("utf-8", "replace").encode()
+    return data
 
 
-def decode(ids: Iterable[int], bytes_of: Callable[[int], bytes], at_a_time: int = DECODE_IDS) -> Iterator[str]:
-    """Text of a stream of ids, piece by piece."""
-    stream, ids = Utf8Stream(), iter(ids)
-    while some := list(islice(ids, at_a_time)):
-        yield stream.feed(b"".join(map(bytes_of, some)))
-    yield stream.close()
+def decode(ids: np.ndarray, bytes_of: Callable[[np.ndarray], bytes], at_a_time: int = DECODE_IDS) -> Iterator[bytes]:
+    """Text of a sequence of ids as UTF-8, piece by piece."""
+    stream = Utf8Stream()
+    for i in range(0, len(ids), at_a_time):
+        yield stream.verified(bytes_of(ids[i:i + at_a_time]))
+    yield stream.rest()
 
 
 def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str) -> DataFrame:
@@ -316,9 +353,9 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, pattern:
 def decode_ids(df: DataFrame, id_col: str, ids_col: str, path: str) -> DataFrame:
     """(id, text) of every array of ids; null ids give null text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _tokens(path).__getitem__
+        tokens = _tokens(path)
         for batch in batches:
-            out = [None if ids is None else "".join(decode(ids, token)) for ids in batch.column(1).to_pylist()]
+            out = [None if ids is None else b"".join(decode(np.array(ids, np.int64), tokens)).decode() for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["id", "text"])
 
     return df.select(df[id_col].alias("id"), df[ids_col].alias("ids")).mapInArrow(
@@ -330,7 +367,7 @@ def round_trip_digests(df: DataFrame, id_col: str, text_col: str, path: str, pat
     the transducer and its ids decoded again; digests keep the result narrow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        token = _tokens(path).__getitem__
+        tokens = _tokens(path)
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
             for text in texts(batch.column(1)):
@@ -338,8 +375,8 @@ def round_trip_digests(df: DataFrame, id_col: str, text_col: str, path: str, pat
                 counts.append(len(packed) // 4)
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
                 digest = hashlib.sha256()
-                for part in decode(np.frombuffer(packed, "<u4").tolist(), token):
-                    digest.update(part.encode())
+                for part in decode(np.frombuffer(packed, "<u4"), tokens):
+                    digest.update(part)
                 text_sha.append(digest.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
