@@ -256,7 +256,7 @@ NET = """ne AS (
          CASE WHEN c_custkey % 6 = 0 THEN 'eth1' ELSE 'eth0' END AS route_dev,
          CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'mlx5_0' END AS hca,
          CASE WHEN c_custkey % 11 = 0 THEN '2' WHEN c_custkey % 2 = 0 THEN '0' ELSE '1' END AS ib_disable,
-         c_custkey % 5 <> 0 AS has_ib
+         c_custkey % 5 <> 0 AS has_ib, c_custkey
   FROM customer),
 nx AS (
   SELECT *, (hca <> '' OR starts_with(ifname, 'ib') OR len(list_filter(nics, lambda x: starts_with(x, 'ib'))) > 0) AS expected_ib,
@@ -278,6 +278,70 @@ def q_network_checks(spark, sf_dir):
     return FL.network_checks(V.v_network_env(spark, sf_dir))
 
 
+@register("network_findings", f"""WITH {NET}, x AS (
+  SELECT nx.*, '10.0.' || CAST(c_custkey % 64 AS VARCHAR) || '.' || CAST(c_custkey % 8 AS VARCHAR) AS ip,
+         CASE WHEN c_custkey % 3 = 0 THEN 'PHB' END AS gdr, CASE WHEN c_custkey % 4 = 1 THEN 'INFO' END AS debug,
+         CASE WHEN has_ib THEN ['mlx5_0', 'mlx5_1'] ELSE [] END AS devices,
+         CASE WHEN ib_disable = '1' THEN 'disabled' WHEN NOT has_ib THEN 'absent' ELSE 'enabled' END AS ib_status,
+         ifname <> '' AND NOT list_contains(nics, ifname) AS nccl_bad, gloo <> '' AND NOT list_contains(nics, gloo) AS gloo_bad
+  FROM nx),
+y AS (SELECT *, json_object('ib', json_object('NCCL_IB_DISABLE', ib_disable, 'expected_ib', expected_ib, 'has_ib', has_ib, 'ib_devices', devices, 'ib_status', ib_status)) AS fabric,
+         json_object('GLOO_SOCKET_IFNAME', gloo, 'NCCL_SOCKET_IFNAME', ifname) AS names FROM x)
+SELECT host, rank, 'warn' AS level, 'NCCL_SOCKET_IFNAME does not match any visible NIC' AS message,
+       json_object('available_nics', nics, 'ifname', ifname)::VARCHAR AS details FROM y WHERE nccl_bad
+UNION ALL SELECT host, rank, 'warn', 'GLOO_SOCKET_IFNAME does not match any visible NIC', json_object('available_nics', nics, 'ifname', gloo)::VARCHAR FROM y WHERE gloo_bad
+UNION ALL SELECT host, rank, 'warn', 'IFNAME looks suspect (lo/docker0/veth)', names::VARCHAR FROM y WHERE suspect
+UNION ALL SELECT host, rank, 'info', 'NIC and network path', json_object('nics', json_object('GLOO_SOCKET_IFNAME', gloo, 'NCCL_SOCKET_IFNAME', ifname,
+  'available_nics', nics, 'ifname_suspect', suspect, 'ifname_valid', NOT nccl_bad AND NOT gloo_bad, 'route_to_master_dev', route_dev,
+  'route_to_master_ok', true, 'route_to_master_src_ip', ip))::VARCHAR FROM y
+UNION ALL SELECT host, rank, 'warn', 'Socket IFNAME does not match route-to-master interface (may hang init_process_group)',
+  json_object('GLOO_SOCKET_IFNAME', gloo, 'NCCL_SOCKET_IFNAME', ifname, 'suggested_dev', route_dev)::VARCHAR FROM y
+  WHERE (ifname <> '' AND ifname <> route_dev) OR (gloo <> '' AND gloo <> route_dev)
+UNION ALL SELECT host, rank, 'warn', 'NCCL_IB_DISABLE has an unexpected value', json_object('NCCL_IB_DISABLE', ib_disable)::VARCHAR FROM y WHERE ib_disable NOT IN ('0', '1')
+UNION ALL SELECT host, rank, 'info', 'InfiniBand / RDMA', fabric::VARCHAR FROM y
+UNION ALL SELECT host, rank, 'warn', 'IB expected but not enabled/available', fabric::VARCHAR FROM y WHERE expected_ib AND ib_status <> 'enabled'
+UNION ALL SELECT host, rank, 'info', 'RCCL/NCCL snapshot', json_object('rccl', json_object('NCCL_DEBUG', debug, 'NCCL_IB_HCA', hca, 'NCCL_NET_GDR_LEVEL', gdr,
+  'NCCL_SOCKET_IFNAME', ifname))::VARCHAR FROM y
+UNION ALL SELECT host, rank, 'warn', 'NCCL_IB_HCA not set (may fall back to socket)', json_object('NCCL_IB_HCA', '')::VARCHAR FROM y WHERE expected_ib AND hca = ''""")
+def q_network_findings(spark, sf_dir):
+    return FL.network_findings(V.v_network_env(spark, sf_dir)).withColumn("details", F.to_json("details"))
+
+
+@register("gpu_host_report", """WITH g AS (
+  SELECT 'node' || CAST(c_custkey % 16 AS VARCHAR) AS host, CAST(c_custkey // 16 AS INTEGER) AS rank, c_custkey AS k, abs(c_acctbal) AS a FROM customer),
+h AS (
+  SELECT host, array_to_string(list_sort(list(rank)), ',') AS ranks,
+    arg_min(CASE WHEN k % 4 = 0 THEN 'MI300X' ELSE (CASE WHEN k % 10 = 0 THEN '' ELSE 'MI300X' END) || '/gfx942' END, rank)
+      FILTER (WHERE k % 9 <> 0 AND NOT (k % 10 = 0 AND k % 4 = 0)) AS gpu_type_arch,
+    coalesce(arg_min(CASE WHEN k % 5 <> 0 AND k % 7 <> 0 THEN 8 ELSE 2 END, rank) FILTER (WHERE (k % 5 <> 0 AND k % 7 <> 0) OR k % 9 <> 0), 0) AS gpu_count,
+    min(190.5 + k % 3) FILTER (WHERE k % 9 <> 0) AS total_memory_gb_min,
+    CASE WHEN count(*) FILTER (WHERE k % 9 <> 0) > 0 THEN 256.0 END AS total_memory_gb_max,
+    min(a / 64) FILTER (WHERE k % 9 <> 0) AS min_free_gb, coalesce(bool_or(k % 90 = 0), false) AS occupied,
+    arg_min('6.' || CAST(k % 4 AS VARCHAR), rank) FILTER (WHERE k % 5 <> 0 AND k % 3 <> 0) AS amdgpu_version,
+    arg_min('7.0.' || CAST(k % 2 AS VARCHAR), rank) FILTER (WHERE k % 5 <> 0) AS rocm_version,
+    arg_min(k % 6 = 1, rank) FILTER (WHERE k % 4 <> 0) AS numa_imbalance,
+    CASE WHEN bool_or(k % 32 = 1) THEN true END AS topo_pcie_hint,
+    arg_max(k % 48 = 2, rank) FILTER (WHERE k % 16 < 4) AS nccl_ib_hca_set,
+    list_sort(list_distinct(flatten(list(list_filter([
+      CASE WHEN k % 90 = 0 THEN 'GPU occupied by other processes (amd-smi)' END,
+      CASE WHEN k % 32 = 1 THEN 'Topology indicates PCIe paths; XGMI may be absent' END,
+      CASE WHEN k % 16 < 4 THEN 'NCCL_IB_HCA not set (may fall back to socket)' END], lambda x: x IS NOT NULL))))) AS w,
+    bool_or(k % 160 = 5) AS fail, count(*) FILTER (WHERE k % 13 <> 0 AND k % 2 <> 0) > 0 AS shaped,
+    min(a / 8) FILTER (WHERE k % 13 <> 0) AS tflops_min, max(a / 8) FILTER (WHERE k % 13 <> 0) AS tflops_max, avg(a / 8) FILTER (WHERE k % 13 <> 0) AS tflops_avg,
+    min(a / 1024) FILTER (WHERE k % 13 <> 0) AS ms_min, max(a / 1024) FILTER (WHERE k % 13 <> 0) AS ms_max, avg(a / 1024) FILTER (WHERE k % 13 <> 0) AS ms_avg,
+    arg_max(k * 1024, rank)::BIGINT AS alloc_bytes
+  FROM g GROUP BY host)
+SELECT host, ranks, CASE WHEN fail THEN 'FAIL' WHEN len(w) > 0 THEN 'WARN' ELSE 'OK' END AS status, gpu_type_arch, gpu_count,
+  round(total_memory_gb_min, 8) AS total_memory_gb_min, round(total_memory_gb_max, 8) AS total_memory_gb_max, round(min_free_gb, 8) AS min_free_gb,
+  occupied, amdgpu_version, rocm_version, numa_imbalance, topo_pcie_hint, nccl_ib_hca_set, coalesce(array_to_string(w, '; '), '') AS warnings,
+  CASE WHEN shaped THEN 4096 END AS m, CASE WHEN shaped THEN 4096 END AS n, CASE WHEN shaped THEN 8192 END AS k,
+  round(tflops_min, 8) AS tflops_min, round(tflops_max, 8) AS tflops_max, round(tflops_avg, 8) AS tflops_avg,
+  round(ms_min, 8) AS ms_min, round(ms_max, 8) AS ms_max, round(ms_avg, 8) AS ms_avg, alloc_bytes
+FROM h""")
+def q_gpu_host_report(spark, sf_dir):
+    return FL.gpu_host_report(V.v_gpu_findings(spark, sf_dir))
+
+
 @register("gather_records", f"""WITH {FINDINGS}
 SELECT host, rank, message, details, NULL::VARCHAR AS warning, NULL::VARCHAR AS info_details, 128 AS world FROM fd WHERE level = 'fail'
 UNION ALL SELECT host, rank, NULL, NULL, message, NULL, 128 FROM fd WHERE level = 'warn'

@@ -152,7 +152,36 @@ def v_network_env(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 0, F.lit("")).otherwise(F.lit("mlx5_0")).alias("hca"),
         F.when(k % 11 == 0, F.lit("2")).when(k % 2 == 0, F.lit("0")).otherwise(F.lit("1")).alias("ib_disable"),
         F.when(k % 5 == 0, F.array().cast("array<string>"))
-        .otherwise(F.array(F.lit("mlx5_0"), F.lit("mlx5_1"))).alias("ib_devices"))
+        .otherwise(F.array(F.lit("mlx5_0"), F.lit("mlx5_1"))).alias("ib_devices"),
+        F.format_string("10.0.%d.%d", (k % 64).cast("int"), (k % 8).cast("int")).alias("route_src_ip"),
+        F.when(k % 3 == 0, F.lit("PHB")).alias("gdr_level"), F.when(k % 4 == 1, F.lit("INFO")).alias("debug"))
+
+
+def v_gpu_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(host, rank, pos, level, message, details) of GPU checks, one record (host, rank) for each
+    customer; some records lack details, repeat a message or hold values that don't read as numbers."""
+    c = table(spark, sf_dir, "customer").selectExpr("c_custkey as k", "abs(c_acctbal) as a")
+    device = "'name', if(k % 10 = 0, '', 'MI300X'), 'arch', if(k % 4 = 0, '', 'gfx942')"
+    found = [  # condition, level, message, details
+        ("true", "info", "GPU enumeration",
+         "if(k % 5 = 0, '{}', to_json(named_struct('device_count', if(k % 7 = 0, 0, 8), 'amdgpu_version', if(k % 3 = 0, '', concat('6.', k % 4)), 'rocm_version', concat('7.0.', k % 2))))"),
+        ("k % 11 = 0", "info", "GPU enumeration", "'{\"device_count\":99,\"amdgpu_version\":\"later\",\"rocm_version\":\"later\"}'"),
+        ("true", "info", "GPU identity",
+         f"if(k % 9 = 0, '{{\"devices\":[]}}', concat('{{\"devices\":[\"odd\",', to_json(named_struct({device}, 'total_memory_gb', 190.5D + k % 3, 'free_memory_gb', a / 64)), "
+         "',{\"name\":\"MI325X\",\"total_memory_gb\":\"256\",\"free_memory_gb\":\"n/a\"}]}'))"),
+        ("k % 90 = 0", "warn", "GPU occupied by other processes (amd-smi)", "'{\"processes\":[{\"pid\":1}]}'"),
+        ("true", "info", "GPU occupancy (amd-smi)", "'{\"processes\":[]}'"),
+        ("true", "info", "GPU↔NUMA mapping", "if(k % 4 = 0, '{\"imbalance\":null}', to_json(named_struct('imbalance', k % 6 = 1)))"),
+        ("k % 32 = 1", "warn", "Topology indicates PCIe paths; XGMI may be absent", "'[]'"),
+        ("k % 16 < 4", "warn", "NCCL_IB_HCA not set (may fall back to socket)", "if(k % 48 = 2, '{\"NCCL_IB_HCA\":\"mlx5_0\"}', '{\"NCCL_IB_HCA\":\"\"}')"),
+        ("k % 13 <> 0", "info", "Single-GPU GEMM sanity", "to_json(named_struct('m', if(k % 2 = 0, 0, 4096), 'n', 4096, 'k', 8192, 'tflops', a / 8, 'ms', a / 1024))"),
+        ("true", "info", "Memory alloc/free sanity", "to_json(named_struct('bytes_approx', k * 1024))"),
+        ("k % 160 = 5", "fail", "GPU missing", "null"),
+    ]
+    rows = [F.when(F.expr(when), F.struct(F.lit(i).alias("pos"), F.lit(level).alias("level"), F.lit(message).alias("message"), F.expr(details).cast("string").alias("details")))
+            for i, (when, level, message, details) in enumerate(found)]
+    return c.select(F.concat(F.lit("node"), F.col("k") % 16).alias("host"), F.expr("cast(k div 16 as int)").alias("rank"),
+                    F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("f")).select("host", "rank", "f.*")
 
 
 # ------------------------------------------------------------------ pipeline
