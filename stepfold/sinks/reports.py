@@ -70,5 +70,9 @@ def write_token_corpus(encoded: DataFrame, path: str, level: str = "document"):
 
 
 def write_merged_trace(events: DataFrame, path: str):
-    """SNK4: one merged trace as a JSON-lines event table (scales with the events)."""
-    events.write.mode("overwrite").json(path)
+    """SNK4: one merged trace as a JSON-lines event table (scales with the events). Events may be
+    typed columns or, in a column ``event``, VARIANT objects, which are written as they were read."""
+    if dict(events.dtypes).get("event") == "variant":
+        events.where("event is not null").select(F.to_json("event")).write.mode("overwrite").text(path)
+    else:
+        events.write.mode("overwrite").json(path)

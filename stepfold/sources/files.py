@@ -21,8 +21,17 @@ def read_log_lines(spark: SparkSession, path: str, recursive: bool = True, glob:
     r = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("lineSep", "\n")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    lines = r.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
-                                F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"))
+    return number_lines(block_lines(r.text(path)))
+
+
+def block_lines(text: DataFrame) -> DataFrame:
+    """Lines of text files, each with its file and the first byte of the block that it was read in."""
+    return text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("line"))
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """(path, line_no, line) of lines (path, _block, line) that were just read, whole files at a time."""
+    lines = lines.withColumn("_at", F.monotonically_increasing_id())
     counts = lines.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("path", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
@@ -60,6 +69,13 @@ def read_profiler_traces(spark: SparkSession, folder: str) -> DataFrame:
                      F.explode_outer("traceEvents").alias("event"))
 
 
+def read_trace_events(spark: SparkSession, folder: str) -> DataFrame:
+    """SRC7 with events as they are: (file, event VARIANT), one row for each event of every ``*.json`` trace, so
+    fields that have different types in different traces stay apart. A trace without events has one row with none."""
+    df = spark.read.schema("traceEvents array<variant>").option("multiLine", "true").option("pathGlobFilter", "*.json").json(folder)
+    return df.select(F.col("_metadata.file_name").alias("file"), F.explode_outer("traceEvents").alias("event"))
+
+
 def read_file_sizes(spark: SparkSession, root: str) -> DataFrame:
     """SRC9 listing: (path, length) of every file below root; the binaryFile
     source with only metadata columns selected never reads file contents."""
