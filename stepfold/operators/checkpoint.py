@@ -25,13 +25,13 @@ def read_rank_logs(lines: DataFrame, run_col: str = "run") -> DataFrame:
     parsed, ANSI removed, duplicate (time, message) pairs removed.
 
     ``lines`` is (run, path, line_no, line) with ``rank-<r>/`` in the path.
-    The last rank per run is a partial aggregate (one row per run), joined
-    back; then a filter keeps two ranks before the dedup shuffle.
+    The paths alone, a row for each file, tell which files are a run's first and last
+    rank; only their lines are read on, whatever the number of ranks.
     """
-    rank = F.regexp_extract("path", RANK_DIR, 1).cast("int")
-    l = lines.withColumn("rank", rank)
-    last = l.groupBy(run_col).agg(F.max("rank").alias("_last"))
-    kept = l.join(last, run_col).filter((F.col("rank") == 0) | (F.col("rank") == F.col("_last")))
+    files = lines.groupBy(run_col, "path").agg(F.first(F.regexp_extract("path", RANK_DIR, 1).cast("int")).alias("rank"))
+    last = files.groupBy(run_col).agg(F.max("rank").alias("_last"))
+    files = files.join(last, run_col).where((F.col("rank") == 0) | (F.col("rank") == F.col("_last"))).select("path")
+    kept = lines.join(files, "path", "left_semi")
     # ANSI codes are removed before the header match (an escape such as
     # ESC[32m before the first bracket would otherwise open the time group).
     clean = kept.select(run_col, "line_no", strip_ansi("line").alias("line"))

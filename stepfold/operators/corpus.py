@@ -83,31 +83,35 @@ def partition_documents(docs: DataFrame, n: int, order: Sequence[str] = ("doc_id
         .withColumn("shard_seq", F.floor(F.col("idx") / block).cast("int")).drop("_total")
 
 
-def corpus_stats(indexed: DataFrame, n: int, interval: int, text: str = "text") -> DataFrame:
+def corpus_stats(docs: DataFrame, n: int, interval: int, text: str = "text", order: Sequence[str] = ("doc_id",)) -> DataFrame:
     """CRP4: documents and MB per round-robin shard at every ``interval``
     documents, with cumulative values. A document's place in its shard is
-    ``idx div n``; only its byte length leaves the scan."""
-    b = (indexed.select(F.pmod("idx", F.lit(n)).cast("int").alias("shard"),
-                        F.expr(f"(idx div {n}) div {interval}").alias("bucket"), F.octet_length(text).alias("_bytes"))
-         .groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("docs"), F.sum("_bytes").alias("bytes")))
-    cum = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    return b.select("shard", "bucket", "docs", "bytes", F.sum("docs").over(cum).alias("cum_docs"),
-                    (F.sum("bytes").over(cum) / 1048576.0).alias("cum_mb"))
+    ``idx div n``; only its order key and byte length leave the scan, and the
+    running values of a shard go by ranges, not in one task."""
+    sizes = written(docs.select(*order, F.octet_length(text).alias("_bytes")))
+    indexed = global_index(sizes, list(order), out="idx")
+    b = written(indexed.select(F.pmod("idx", F.lit(n)).cast("int").alias("shard"), F.expr(f"(idx div {n}) div {interval}").alias("bucket"), "_bytes")
+                .groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("docs"), F.sum("_bytes").alias("bytes")))
+    before = global_running(b, ["bucket"], ["shard"], {"_docs": F.sum("docs"), "_bytes": F.sum("bytes")})
+    return before.select("shard", "bucket", "docs", "bytes", (F.col("_docs") + F.col("docs")).alias("cum_docs"),
+                         ((F.col("_bytes") + F.col("bytes")) / 1048576.0).alias("cum_mb"))
 
 
-def merge_shards(encoded: DataFrame, shard: str, order: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """CRP5: shards concatenated in order; every document with its re-based
+def document_sizes(encoded: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(keep, n_sentences, n_tokens) of every document, written once: what merging needs of the corpus, without tokens or lengths."""
+    return written(encoded.select(*keep, F.size("sentence_lens").cast("long").alias("n_sentences"), F.col("n_tokens").cast("long").alias("n_tokens")))
+
+
+def merge_shards(sizes: DataFrame, shard: str, order: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """CRP5: shards concatenated in order; every document (``document_sizes`` with its shard) with its re-based
     document index and its first sentence and token in the merged corpus."""
-    sizes = encoded.withColumn("n_sentences", F.size("sentence_lens").cast("long")).drop("tokens", "sentence_lens")
     return global_running(sizes, [shard, *order], [], {
         "doc_index": F.count(F.lit(1)), "sentence_offset": F.sum("n_sentences"), "token_offset": F.sum("n_tokens")})
 
 
-def shard_totals(encoded: DataFrame, shard: str) -> DataFrame:
+def shard_totals(sizes: DataFrame, shard: str) -> DataFrame:
     """CRP5: documents, sentences and tokens of each shard and their offsets in the merged corpus."""
-    out = encoded.groupBy(shard).agg(F.count(F.lit(1)).alias("docs"),
-                                     F.sum(F.size("sentence_lens")).alias("sentences"),
-                                     F.sum("n_tokens").alias("tokens"))
+    out = sizes.groupBy(shard).agg(F.count(F.lit(1)).alias("docs"), F.sum("n_sentences").alias("sentences"), F.sum("n_tokens").alias("tokens"))
     for c in ("docs", "sentences", "tokens"):
         out = exclusive_prefix_sum(out, [], [shard], c, f"{c}_offset")
     return out
@@ -160,10 +164,10 @@ def fixed_length_samples(encoded: DataFrame, seq_len: int, order_key: Column, ep
     Output: (sample_id, tokens, doc_ids) with one doc id per token.
     """
     ids = [c for c in ("doc_id", "key") if c in encoded.columns]  # unique together
-    docs = encoded.withColumn("epoch", F.lit(epoch)).withColumn("_ok", order_key)
-    # offsets come from the lengths alone; the tokens move once, to meet them
-    lengths = written(docs.select(*ids, "_ok", "n_tokens")).filter(F.col("n_tokens") > 0)
-    off = encoded.select(*ids, "tokens").join(global_prefix_sum(lengths, ["_ok", *ids], "n_tokens", "offset"), ids)
+    # texts are tokenised once; offsets come from the lengths alone, and the tokens move once, to meet them
+    docs = written(encoded.withColumn("epoch", F.lit(epoch)).withColumn("_ok", order_key).select(*ids, "_ok", "n_tokens", "tokens"))
+    lengths = docs.select(*ids, "_ok", "n_tokens").filter(F.col("n_tokens") > 0)
+    off = docs.select(*ids, "tokens").join(global_prefix_sum(lengths, ["_ok", *ids], "n_tokens", "offset"), ids)
     first = F.floor(F.greatest(F.col("offset") - 1, F.lit(0)) / seq_len).cast("long")
     last = F.floor((F.col("offset") + F.col("n_tokens") - 1) / seq_len).cast("long")
 

@@ -215,20 +215,23 @@ def parse_titan_daily_steps(lines: DataFrame) -> DataFrame:
 def parse_inst_avg_steps(lines: DataFrame) -> DataFrame:
     """PRJ7: ``inst/avg`` pairs and memory (GB or GiB), extracted per segment
     (so the segment order of the two layouts does not matter). Line-scoped."""
-    l = strip_ansi("line")
     pair = r"\):\s*([\d.]+)(?:/([\d.]+))?"
 
-    def seg(prefix_regex: str) -> Column:
-        return F.regexp_extract(F.col("line"), prefix_regex + r"[^|]*", 0)
+    def seg(words: str, pattern: str) -> Column:
+        """The segment's text from the first match of ``pattern`` on; segments without ``words`` aren't searched."""
+        held = F.filter("_segments", lambda s: s.contains(words) & s.rlike(pattern))
+        return F.regexp_extract(F.get(held, F.lit(0)), pattern + ".*", 0)
 
-    el, th, tk = (seg(r"elapsed time per iteration\s*\(ms\)"), seg(r"throughput per GPU\s*\(TFLOP/s/GPU\)"),
-                  seg(r"tokens per GPU\s*\(tokens/s/GPU\)"))
-    hip = seg(r"hip mem usage/free/total/usage_ratio:")
+    el = seg("elapsed time per iteration", r"elapsed time per iteration\s*\(ms\)")
+    th, tk = seg("throughput per GPU", r"throughput per GPU\s*\(TFLOP/s/GPU\)"), seg("tokens per GPU", r"tokens per GPU\s*\(tokens/s/GPU\)")
+    hip = seg("hip mem usage", r"hip mem usage/free/total/usage_ratio:")
     mem_re = (r":\s*([\d.]+)\s*G(?:i)?B/([\d.]+)\s*G(?:i)?B/([\d.]+)\s*G(?:i)?B/([\d.]+)%")
-    old = F.regexp_extract(F.col("line"), r"mem usages:\s*([\d.]+)", 1)
-    return (lines.select("path", "line_no", l.alias("line"))
+    old = F.regexp_extract(seg("mem usages:", r"mem usages:\s*[\d.]"), r"mem usages:\s*([\d.]+)", 1)
+    return (lines.select("path", "line_no", strip_ansi("line").alias("line"))
+            .filter(F.col("line").contains("elapsed time per iteration"))  # before any search
             .filter(F.col("line").rlike(r"iteration\s+\d+\s*/\s*\d+") &
                     F.col("line").rlike(r"elapsed time per iteration\s*\(ms\):\s*[\d.]+"))
+            .withColumn("_segments", F.split("line", r"\|"))
             .select("path", "line_no",
                     to_long(F.regexp_extract("line", r"iteration\s+(\d+)\s*/", 1)).alias("iter"),
                     to_double(F.regexp_extract(el, pair, 1)).alias("elapsed_ms"),

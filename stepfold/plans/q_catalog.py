@@ -172,3 +172,12 @@ def q_tuning_worklist(spark, sf_dir):
 SELECT m, n, kk AS k, CAST(1 AS BIGINT) AS batch_count, t AS a_type, count(*) AS n_lines FROM g GROUP BY ALL""")
 def q_gemm_shape_census(spark, sf_dir):
     return K.gemm_shape_census(v_gemm_dump(spark, sf_dir))
+
+
+@register("tuning_results", """SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN 1 ELSE 0 END AS returncode, p_retailprice AS gflops,
+  round(CASE WHEN p_partkey % 9 = 0 THEN -1.0 ELSE p_retailprice / 1024.0 END, 8) AS tflops FROM part""")
+def q_tuning_results(spark, sf_dir):
+    """One tuning run for each part; every ninth failed."""
+    runs = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 9 == 0, 1).otherwise(0).alias("returncode"),
+                                               F.col("p_retailprice").cast("double").alias("gflops"))
+    return K.tuning_results(runs)

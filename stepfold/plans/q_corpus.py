@@ -104,7 +104,7 @@ SELECT shard, bucket, docs, bytes,
        round(sum(bytes) OVER (PARTITION BY shard ORDER BY bucket) / 1048576.0, 8) AS cum_mb
 FROM g""")
 def q_corpus_stats(spark, sf_dir):
-    return C.corpus_stats(C.partition_documents(v_docs(spark, sf_dir), N_SHARDS), N_SHARDS, 50)
+    return C.corpus_stats(v_docs(spark, sf_dir), N_SHARDS, 50)
 
 
 @register("merge_shards", f"""WITH {DOCS}, ix AS (
@@ -114,8 +114,7 @@ SELECT doc_id, shard, row_number() OVER (ORDER BY shard, doc_id) - 1 AS doc_inde
        CAST(coalesce(sum(len(toks)) OVER w, 0) AS BIGINT) AS token_offset
 FROM ix WINDOW w AS (ORDER BY shard, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def q_merge_shards(spark, sf_dir):
-    enc = _encoded(spark, sf_dir).select("doc_id", "tokens", "sentence_lens", "n_tokens")
-    sh = C.partition_documents(enc, N_SHARDS).withColumnRenamed("shard_rr", "shard")
+    sh = C.partition_documents(C.document_sizes(_encoded(spark, sf_dir)), N_SHARDS).withColumnRenamed("shard_rr", "shard")
     return C.merge_shards(sh, "shard").select("doc_id", "shard", "doc_index", "sentence_offset", "token_offset")
 
 
@@ -129,8 +128,7 @@ SELECT shard, docs, sentences, tokens,
        CAST(coalesce(sum(tokens) OVER w, 0) AS BIGINT) AS tokens_offset
 FROM p WINDOW w AS (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def q_shard_totals(spark, sf_dir):
-    enc = _encoded(spark, sf_dir)
-    sh = C.partition_documents(enc, N_SHARDS).withColumnRenamed("shard_rr", "shard")
+    sh = C.partition_documents(C.document_sizes(_encoded(spark, sf_dir)), N_SHARDS).withColumnRenamed("shard_rr", "shard")
     return C.shard_totals(sh, "shard").select("shard", "docs", F.col("sentences").cast("long").alias("sentences"),
                                               "tokens", "docs_offset", "sentences_offset", "tokens_offset")
 

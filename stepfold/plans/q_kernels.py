@@ -137,3 +137,17 @@ def q_relative_to_baseline(spark, sf_dir):
     g = measured.groupBy("model", "shape", "phase", "mbs").agg(F.avg("ms").alias("ms"))
     out = KB.relative_to_baseline(g, ["model", "shape", "phase"], F.col("mbs") == 1)
     return out.filter(F.col("speedup").isNotNull()).select("model", "shape", "phase", "mbs", "ms", "speedup")
+
+
+@register("projection_error", f"""WITH {SQL_BASE},
+g AS (SELECT model, shape, phase, mbs, avg(ms) AS ms FROM ms GROUP BY ALL),
+p AS (SELECT *, mbs * max(CASE WHEN mbs = 1 THEN ms END) OVER (PARTITION BY model, shape, phase) AS projected_ms FROM g)
+SELECT model, shape, phase, mbs, round(ms, 8) AS ms, round(projected_ms, 8) AS projected_ms, round((projected_ms - ms) / ms * 100, 8) AS error_pct
+FROM p WHERE projected_ms IS NOT NULL""")
+def q_projection_error(spark, sf_dir):
+    """Times projected linearly from a batch of 1 against those measured."""
+    measured, _ = _measured(spark, sf_dir)
+    g = measured.groupBy("model", "shape", "phase", "mbs").agg(F.avg("ms").alias("ms"))
+    base = g.where("mbs = 1").select("model", "shape", "phase", F.col("ms").alias("_one"))
+    projected = g.join(base, ["model", "shape", "phase"]).withColumn("projected_ms", F.col("mbs") * F.col("_one"))
+    return KB.projection_error(projected, "projected_ms", "ms").select("model", "shape", "phase", "mbs", "ms", "projected_ms", "error_pct")

@@ -8,6 +8,7 @@ from stepfold.operators import trainlog as T
 from stepfold.operators import windows as W
 from stepfold.plans import views_logs as V
 from stepfold.plans.finalize import rounded
+from stepfold.plans.tables import table
 
 QUERIES = {}
 ORACLE = {}
@@ -302,3 +303,28 @@ WINDOW w AS (PARTITION BY run, iter > 2,
 def q_running_averages_legacy(spark, sf_dir):
     steps = T.parse_megatron_steps(_mlines(spark, sf_dir))
     return W.running_averages(steps, ["elapsed_ms", "tflops_gpu", "tokens_gpu"], legacy=True)
+
+
+# A line with metrics in the layout of each framework, and one without.
+STEP_LINES = {
+    "megatron": " iteration        3/      50 | consumed samples:          384 | elapsed time per iteration (ms): 6046.6 | throughput per GPU (TFLOP/s/GPU): 1255.4 | "
+                "tokens per GPU (tokens/s/GPU): 1234.5 | learning rate: 1.000000E-04 | global batch size:   128 | lm loss: 1.100000E+00 | loss scale: 1.0 | "
+                "number of skipped iterations:   0 | number of nan iterations:   0 |",
+    "torchtitan": "[2024-01-01 00:00:00][user/team][trainer][ip-10-0-0-1][rank-0/8][INFO] step: 3  loss: 1.2345  grad_norm: 0.5000  memory: 10.00GiB(5.00%)  tps: 1,234  tflops: 100.00  mfu: 10.00%",
+    "maxtext": "[2024-01-01 00:00:00][INFO] completed step: 3, seconds: 1.234, TFLOP/s/device: 100.000, Tokens/s/device: 1234.000, total_weights: 1024, loss: 1.234"}
+FOLDERS = [*STEP_LINES, "jaxrun"]
+
+
+@register("daily_report_errors", f"""WITH f AS (SELECT s_suppkey AS k, {FOLDERS}[s_suppkey % 4 + 1] AS framework FROM supplier)
+SELECT concat('logs/', framework, '/job_', k, '.log') AS path,
+  CASE WHEN framework = 'jaxrun' THEN 'unknown framework' ELSE 'no valid iteration metrics' END AS error
+FROM f WHERE framework = 'jaxrun' OR k % 3 = 0""")
+def q_daily_report_errors(spark, sf_dir):
+    """A log for each supplier: a note, and a step line in two of three; every fourth is of a framework that isn't known."""
+    k = F.col("s_suppkey")
+    framework = F.element_at(F.array(*map(F.lit, FOLDERS)), (k % 4 + 1).cast("int"))
+    step = F.create_map(*[F.lit(x) for name, line in [*STEP_LINES.items(), ("jaxrun", STEP_LINES["maxtext"])] for x in (name, line)])[framework]
+    notes = F.array(F.lit("iteration of a plan, step by step"), F.when(k % 3 != 0, step).otherwise("stopped"))
+    lines = table(spark, sf_dir, "supplier").select(F.concat(F.lit("logs/"), framework, F.lit("/job_"), k.cast("string"), F.lit(".log")).alias("path"),
+                                                    F.posexplode(notes).alias("line_no", "line"))
+    return T.daily_report_errors(lines)

@@ -15,6 +15,7 @@ from stepfold.plans import views_logs as VL
 from stepfold.plans import views_ops as V
 from stepfold.plans.finalize import rounded
 from stepfold.plans.q_logs import MPATH, STEPS, TITAN, TPATH
+from stepfold.plans.tables import table
 from stepfold.plans.views_bench import LINEITEM_ORDER
 
 QUERIES = {}
@@ -248,6 +249,13 @@ def q_consistency_check(spark, sf_dir):
     return FL.consistency_check(f, ["host"], "fw_version")
 
 
+@register("below_threshold", """SELECT 'node' || CAST(c_custkey % 16 AS VARCHAR) AS host, c_custkey // 16 AS rank, round(abs(c_acctbal), 8) AS bandwidth, 'warn' AS level
+FROM customer WHERE abs(c_acctbal) < 500""")
+def q_below_threshold(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").selectExpr("concat('node', c_custkey % 16) as host", "c_custkey div 16 as rank", "abs(c_acctbal) as bandwidth")
+    return FL.below_threshold(c, "bandwidth", 500.0, ["host", "rank"])
+
+
 NET = """ne AS (
   SELECT 'node' || CAST(c_custkey % 64 AS VARCHAR) AS host, CAST(c_custkey % 8 AS INTEGER) AS rank,
          [['lo','eth0','ib0'], ['lo','docker0','eth0'], ['lo','veth12ab'], ['lo','eth0','eth1','ib0']][c_custkey % 4 + 1] AS nics,

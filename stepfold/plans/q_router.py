@@ -93,6 +93,14 @@ def q_expert_permute(spark, sf_dir):
     return R.expert_permute(_selected(spark, sf_dir)[1])
 
 
+@register("expert_unpermute", f"""WITH {ROUTER}
+SELECT token_id, round(sum(prob * (token_id % 97 + 1)), 8) AS value FROM sel GROUP BY token_id""")
+def q_expert_unpermute(spark, sf_dir):
+    """Round trip: tokens permuted to their experts, which pass them on, come back as the weighted sum of what they were."""
+    permuted = R.expert_permute(_selected(spark, sf_dir)[1])
+    return R.expert_unpermute(permuted.withColumn("value", (F.col("token_id") % 97 + 1).cast("double")))
+
+
 @register("sigmoid_topk", f"""WITH {ROUTER.split(',\ng1 AS')[0]}, s AS (
   SELECT *, 1.0 / (1.0 + exp(-score)) AS w, 1.0 / (1.0 + exp(-score)) + (expert_id % 5) * 0.02 AS r FROM vr),
 t AS (SELECT *, CAST(row_number() OVER (PARTITION BY token_id ORDER BY r DESC, expert_id) - 1 AS INTEGER) AS slot FROM s)
