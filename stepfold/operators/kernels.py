@@ -16,6 +16,16 @@ MODEL_CONFIGS = {
     "Mistral_8x7B": (4096, 4096, 14336, 32, 8, 128, 32000),
     "Mistral_8x22B": (4096, 6144, 16384, 48, 8, 128, 32000),
 }
+# Fixed values that must equal the reference: latent-attention models with routed experts.
+# name: (seqlen, hidden_size, intermediate_size, kv_lora_rank, moe_intermediate_size, num_attention_heads, num_experts_per_tok, n_routed_experts,
+#        n_shared_experts, q_lora_rank, qk_nope_head_dim, qk_rope_head_dim, v_head_dim, vocab_size)
+MOE_CONFIGS = {
+    "Deepseek_V2_Lite": (4096, 2048, 10944, 512, 1408, 16, 6, 64, 2, None, 128, 64, 128, 102400),
+    "Deepseek_V2": (4096, 5120, 12288, 512, 1536, 128, 6, 160, 2, 1536, 128, 64, 128, 102400),
+    "Deepseek_V3": (4096, 7168, 18432, 512, 2048, 128, 8, 256, 1, 1536, 128, 64, 128, 129280),
+}
+MOE_FIELDS = ("seqlen hidden_size intermediate_size kv_lora_rank moe_intermediate_size num_attention_heads num_experts_per_tok n_routed_experts "
+              "n_shared_experts q_lora_rank qk_nope_head_dim qk_rope_head_dim v_head_dim vocab_size").split()
 SHAPES = ["attn_qkv", "attn_out", "mlp_up", "mlp_down", "vocab"]
 PHASES = ["fwd", "wgrad", "dgrad"]
 
@@ -46,10 +56,42 @@ def dense_shapes(catalog: DataFrame) -> DataFrame:
     return catalog.select("model", F.inline(shapes))
 
 
-def expected_cases(catalog: DataFrame, mbs_list) -> DataFrame:
+def moe_catalog_df(spark: SparkSession) -> DataFrame:
+    """The catalog of latent-attention models (one row per model)."""
+    return spark.createDataFrame([(k, *v) for k, v in MOE_CONFIGS.items()], "model string, " + ", ".join(f"{f} long" for f in MOE_FIELDS))
+
+
+def moe_shapes(catalog: DataFrame) -> DataFrame:
+    """The GEMM shapes (shape, s0, n, k) of latent attention and routed experts per model: the query projection in one
+    step or, with a query rank, in two; shared experts only where there are any; routed experts at a balanced share of the tokens."""
+    c = F.col
+
+    def shape(name, n, k, s0=None, when=None):
+        row = F.struct(F.lit(name).alias("shape"), (c("seqlen") if s0 is None else s0).cast("long").alias("s0"), n.cast("long").alias("n"), k.cast("long").alias("k"))
+        return row if when is None else F.when(when, row)
+    heads, hidden, low = c("num_attention_heads"), c("hidden_size"), c("q_lora_rank")
+    query, routed = heads * (c("qk_nope_head_dim") + c("qk_rope_head_dim")), c("moe_intermediate_size")
+    share, shared = F.floor(c("seqlen") * c("num_experts_per_tok") / c("n_routed_experts")), c("n_shared_experts") > 0
+    shapes = F.array(
+        shape("attn_q", query, hidden, when=low.isNull()),
+        shape("attn_q_down", low, hidden, when=low.isNotNull()),
+        shape("attn_q_up", query, low, when=low.isNotNull()),
+        shape("attn_kv_down", c("kv_lora_rank") + c("qk_rope_head_dim"), hidden),
+        shape("attn_kv_up", heads * (c("qk_nope_head_dim") + c("v_head_dim")), c("kv_lora_rank")),
+        shape("attn_out", hidden, heads * c("v_head_dim")),
+        shape("router", c("n_routed_experts"), hidden),
+        shape("shared_gateup", 2 * c("intermediate_size"), hidden, when=shared),
+        shape("shared_down", hidden, c("intermediate_size"), when=shared),
+        shape("moe_gateup", 2 * routed, hidden, s0=share),
+        shape("moe_down", hidden, routed, s0=share),
+        shape("vocab", c("vocab_size"), hidden))
+    return catalog.select("model", F.inline(F.filter(shapes, lambda x: x.isNotNull())))
+
+
+def expected_cases(catalog: DataFrame, mbs_list, shapes=dense_shapes) -> DataFrame:
     """JN2 grid: models x shapes x phases x micro-batch sizes, m = mbs * s0.
     The fixed phase and mbs lists are exploded per shape row."""
-    sh = dense_shapes(catalog)
+    sh = shapes(catalog)
     return (sh.select("*", F.explode(F.array(*[F.lit(p) for p in PHASES])).alias("phase"))
             .select("*", F.explode(F.array(*[F.lit(int(b)) for b in mbs_list])).alias("mbs"))
             .withColumn("m", F.col("mbs") * F.col("s0")).drop("s0"))
@@ -64,13 +106,14 @@ def lookup_models(results: DataFrame, catalog: DataFrame) -> DataFrame:
                         .otherwise(F.col("_model"))).drop("_lm", "_model")
 
 
-def benchmark_coverage(results: DataFrame, catalog: DataFrame, mbs_list) -> tuple[DataFrame, DataFrame]:
+def benchmark_coverage(results: DataFrame, catalog: DataFrame, mbs_list, shapes=dense_shapes) -> tuple[DataFrame, DataFrame]:
     """JN2: measured rows with their shape (left join onto the expected grid)
-    and the expected cases never measured (left anti join)."""
-    exp = expected_cases(catalog, mbs_list)
+    and the expected cases never measured (left anti join). The grid's size follows
+    the catalog, so how it is joined is left to its measured size."""
+    exp = expected_cases(catalog, mbs_list, shapes)
     key = ["model", "shape", "phase", "mbs"]
     res = lookup_models(results, catalog)
-    measured = res.join(F.broadcast(exp), key, "left")
+    measured = res.join(exp, key, "left")
     missing = exp.join(res.select(*key).distinct(), key, "left_anti")
     return measured, missing
 

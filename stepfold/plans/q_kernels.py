@@ -151,3 +151,46 @@ def q_projection_error(spark, sf_dir):
     base = g.where("mbs = 1").select("model", "shape", "phase", F.col("ms").alias("_one"))
     projected = g.join(base, ["model", "shape", "phase"]).withColumn("projected_ms", F.col("mbs") * F.col("_one"))
     return KB.projection_error(projected, "projected_ms", "ms").select("model", "shape", "phase", "mbs", "ms", "projected_ms", "error_pct")
+
+
+MOE_SHAPES = ["attn_q", "attn_q_down", "attn_q_up", "attn_kv_down", "attn_kv_up", "attn_out", "router", "shared_gateup", "shared_down", "moe_gateup", "moe_down"]
+MOE_CAT = f"c(model, {', '.join(KB.MOE_FIELDS)}) AS (VALUES " + ", ".join(
+    f"('{k}', " + ", ".join("NULL::BIGINT" if x is None else f"{x}::BIGINT" for x in v) + ")" for k, v in KB.MOE_CONFIGS.items()) + ")"
+
+
+def v_moe_results(spark, sf_dir):
+    """(model, shape, phase, mbs, ms) for each lineitem row; 'vocab' is never measured, some models don't have the shape."""
+    model = F.element_at(_arr(list(KB.MOE_CONFIGS)), (F.col("l_partkey") % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 5 == 0, F.lower(model)).otherwise(model).alias("model"),
+        F.element_at(_arr(MOE_SHAPES), (F.col("l_suppkey") % len(MOE_SHAPES) + 1).cast("int")).alias("shape"),
+        F.element_at(_arr(KB.PHASES), (F.col("l_linenumber") % 3 + 1).cast("int")).alias("phase"),
+        (F.col("l_orderkey") % 2 + 1).cast("int").alias("mbs"), (F.col("l_extendedprice") / 1000).alias("ms"))
+
+
+@register("moe_benchmark_coverage", f"""WITH {MOE_CAT},
+sh AS (
+  SELECT model, 'attn_q' AS shape, seqlen AS s0, num_attention_heads * (qk_nope_head_dim + qk_rope_head_dim) AS n, hidden_size AS k FROM c WHERE q_lora_rank IS NULL
+  UNION ALL SELECT model, 'attn_q_down', seqlen, q_lora_rank, hidden_size FROM c WHERE q_lora_rank IS NOT NULL
+  UNION ALL SELECT model, 'attn_q_up', seqlen, num_attention_heads * (qk_nope_head_dim + qk_rope_head_dim), q_lora_rank FROM c WHERE q_lora_rank IS NOT NULL
+  UNION ALL SELECT model, 'attn_kv_down', seqlen, kv_lora_rank + qk_rope_head_dim, hidden_size FROM c
+  UNION ALL SELECT model, 'attn_kv_up', seqlen, num_attention_heads * (qk_nope_head_dim + v_head_dim), kv_lora_rank FROM c
+  UNION ALL SELECT model, 'attn_out', seqlen, hidden_size, num_attention_heads * v_head_dim FROM c
+  UNION ALL SELECT model, 'router', seqlen, n_routed_experts, hidden_size FROM c
+  UNION ALL SELECT model, 'shared_gateup', seqlen, intermediate_size * 2, hidden_size FROM c WHERE n_shared_experts > 0
+  UNION ALL SELECT model, 'shared_down', seqlen, hidden_size, intermediate_size FROM c WHERE n_shared_experts > 0
+  UNION ALL SELECT model, 'moe_gateup', seqlen * num_experts_per_tok // n_routed_experts, moe_intermediate_size * 2, hidden_size FROM c
+  UNION ALL SELECT model, 'moe_down', seqlen * num_experts_per_tok // n_routed_experts, hidden_size, moe_intermediate_size FROM c
+  UNION ALL SELECT model, 'vocab', seqlen, vocab_size, hidden_size FROM c),
+ex AS (SELECT model, shape, phase, mbs::INTEGER AS mbs, mbs * s0 AS m, n, k FROM sh, (VALUES ('fwd'), ('wgrad'), ('dgrad')) p(phase), (VALUES (1), (2)) b(mbs)),
+r AS (SELECT {list(KB.MOE_CONFIGS)}[l_partkey % 3 + 1] AS model, {MOE_SHAPES}[l_suppkey % {len(MOE_SHAPES)} + 1] AS shape, ['fwd', 'wgrad', 'dgrad'][l_linenumber % 3 + 1] AS phase,
+  CAST(l_orderkey % 2 + 1 AS INTEGER) AS mbs, l_extendedprice / 1000 AS ms FROM lineitem),
+g AS (SELECT model, shape, phase, mbs, count(*) AS runs, avg(ms) AS ms FROM r GROUP BY ALL)
+SELECT coalesce(g.model, ex.model) AS model, coalesce(g.shape, ex.shape) AS shape, coalesce(g.phase, ex.phase) AS phase, coalesce(g.mbs, ex.mbs) AS mbs,
+  m::BIGINT AS m, n, k, coalesce(runs, 0) AS runs, round(ms, 8) AS ms
+FROM g FULL JOIN ex ON g.model = ex.model AND g.shape = ex.shape AND g.phase = ex.phase AND g.mbs = ex.mbs""")
+def q_moe_benchmark_coverage(spark, sf_dir):
+    measured, missing = KB.benchmark_coverage(v_moe_results(spark, sf_dir), KB.moe_catalog_df(spark), MBS, KB.moe_shapes)
+    case = ["model", "shape", "phase", "mbs", "m", "n", "k"]
+    runs = measured.groupBy(*case).agg(F.count("*").alias("runs"), F.avg("ms").alias("ms"))
+    return runs.unionByName(missing.select(*case, F.lit(0).cast("long").alias("runs"), F.lit(None).cast("double").alias("ms")))
