@@ -11,7 +11,9 @@ rows a query, and a window keeps the best k of all tasks.
 
 Vectors are whole numbers; scores are exact. Rows with a null id, a null vector
 or one with null or non-finite components take no part, and rows of another
-length than a query are no candidates for it. A query's own row is every row with its id.
+length than a query are no candidates for it. A query's own row is every row with its id. Query rows that repeat an
+id and its vector are one query, rows that share an id with unlike vectors are queries of
+their own with k results each; a candidate that stands in several rows counts as often.
 """
 
 from __future__ import annotations
@@ -76,8 +78,8 @@ class CoverTree:
 class _Search:
     """One block of queries and the best k rows that they have met so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.k, self.tree = ids, k, CoverTree(vectors)
+    def __init__(self, ids: np.ndarray, twins: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.twins, self.k, self.tree = ids, twins, k, CoverTree(vectors)
         self.scores = np.full((len(ids), k), -np.inf)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
         self.under = [None] * len(self.tree.centre)
@@ -136,8 +138,8 @@ class _Search:
 
     def best(self) -> pa.RecordBatch:
         query, at = np.nonzero(self.scores > -np.inf)
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[query]), pa.array(self.found[query, at]),
-                                           pa.array(self.scores[query, at].astype(np.int64))], names=["query_id", "id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[query]), pa.array(self.twins[query]), pa.array(self.found[query, at]),
+                                           pa.array(self.scores[query, at].astype(np.int64))], names=["query_id", "twin", "id", "score"])
 
 
 def search(df: DataFrame, id_col: str, vector: Column, is_query: Column, k: int) -> DataFrame:
@@ -150,27 +152,29 @@ def search(df: DataFrame, id_col: str, vector: Column, is_query: Column, k: int)
     chunks, blocks = max(1, -(-n // CHUNK_ROWS)), max(1, -(-n_queries // BLOCK_QUERIES))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     part = lambda count: F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
-    queries = rows.where("query").select("length", part(blocks).alias("block"), every(chunks).alias("chunk"), F.lit(0).alias("role"), "id", "vector")
-    others = rows.select("length", every(blocks).alias("block"), part(chunks).alias("chunk"), F.lit(1).alias("role"), "id", "vector")
+    # twin tells queries of one id apart; as a hash of the vector it is the same wherever the row is dealt
+    queries = rows.where("query").dropDuplicates(["id", "vector"]).withColumn("twin", F.xxhash64("vector"))
+    queries = queries.select("length", part(blocks).alias("block"), every(chunks).alias("chunk"), F.lit(0).alias("role"), "id", "twin", "vector")
+    others = rows.select("length", every(blocks).alias("block"), part(chunks).alias("chunk"), F.lit(1).alias("role"), "id", F.lit(0).cast("long").alias("twin"), "vector")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, {0: [], 1: []}
 
         def close() -> Iterator[pa.RecordBatch]:
             if parts[0] and parts[1]:
-                ids, vectors = ([np.concatenate([p[i] for p in parts[role]]) for i in (0, 1)] for role in (0, 1))
-                block = _Search(ids[0], ids[1], k)
-                block.meet(*vectors)
+                queries, others = ([np.concatenate([p[i] for p in parts[role]]) for i in (0, 1, 2)] for role in (0, 1))
+                block = _Search(*queries, k)
+                block.meet(others[0], others[2])
                 yield block.best()
 
         for (*key, role), some in sorted_groups(batches, 4):
             if key != current:
                 yield from close()
                 current, parts = key, {0: [], 1: []}
-            parts[role].append((some.column(4).to_numpy(), matrix(some.column(5))))
+            parts[role].append((some.column(4).to_numpy(), some.column(5).to_numpy(), matrix(some.column(6))))
         yield from close()
 
     dealt = queries.unionAll(others).repartition("length", "block", "chunk").sortWithinPartitions("length", "block", "chunk", "role")
-    found = dealt.mapInArrow(run, "query_id long, id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
+    found = dealt.mapInArrow(run, "query_id long, twin long, id long, score long")
+    order = W.partitionBy("query_id", "twin").orderBy(F.col("score").desc(), F.col("id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
