@@ -8,15 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepfold.llm import (bpe, divergence, langid, neardup_vectors, packing, pii, quality, resample, sharding, simhash, slackpacking, topk,
-                          toxic, urlfilter)
-from stepfold.llm.common import table
+                          urlfilter)
+from stepfold.llm.common import checkpointed, table
 
 SEQUENCE, END_ID = 1024, 0
 COSINE = 0.9
 QUERY_EVERY, TOP = 50, 5
 SHARD_BYTES = 1 << 20
 SIMHASH_WORDS, SIMHASH_RADIUS = 4, 4
-GRADE_CUT, LEAST_TAIL = 1, 0.5
 LEAST_DOCS, TOP_TERMS = 30, 50
 NGRAM_WORDS, BUCKETS, SEED, LEAST_WORDS, DRAWN_PERCENT = (1, 1), 10_000, 2024, 20, 10
 LONG_SEQUENCE = 2048
@@ -30,18 +29,29 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), "doc_id", "text", path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
-def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with a grade: 0 poor, 1 fair but toxic, 2 good, and their label ``toxic``. Contradicting labels of one document count as the worse."""
+def label_grades(labels: DataFrame) -> DataFrame:
+    """(doc_id, grade, toxic) of each labelled id, grades 0 poor, 1 fair but toxic, 2 good. Contradicting labels of one document count as the worse."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
-    grades = labels.select("doc_id", grade.alias("grade"), "toxic").groupBy("doc_id").agg(F.min("grade").alias("grade"), F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(grades, "doc_id")
+    return labels.select("doc_id", grade.alias("grade"), "toxic").groupBy("doc_id").agg(F.min("grade").alias("grade"), F.max("toxic").alias("toxic"))
+
+
+def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with their grade and label ``toxic``."""
+    return docs.select("doc_id", "text").join(label_grades(labels), "doc_id")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.OrdinalModel | None:
+    return quality.train_with_marks(docs, "doc_id", "text", label_grades(labels).withColumnRenamed("doc_id", "id"))
+
+
+def selected(docs: DataFrame, labels: DataFrame, carry: list[str], names: tuple[str, str, str] = ("expected_grade", "tail", "selected")) -> DataFrame:
+    """Expected grade, tail at the model's cut and whether it reaches the model's least, for all documents."""
+    model = quality_model(docs, labels)
+    return quality.score(docs, "text", model, model.cut if model else 1, model.least if model else 0.0, carry, names)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    rows = graded(docs, table(spark, sf_dir, "labels"))
-    model, marks = quality.train(rows, "doc_id", "text", "grade"), toxic.learn(rows, "doc_id", "text", "toxic")
-    return quality.score(docs, "text", model, GRADE_CUT, LEAST_TAIL, ["doc_id"], marks=marks)
+    return selected(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
 
 
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

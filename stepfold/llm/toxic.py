@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepfold.llm.common import checkpointed, texts
@@ -103,7 +103,16 @@ def learn(df: DataFrame, id_col: str, text_col: str, toxic_col: str, max_rows: i
     place, picked = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)), F.lit(False)
     for level, n in have.items():
         picked |= (F.col("toxic") == level) & (place < F.lit(int((1 << 30) * min(1.0, max_rows / 2 / n))))
-    sample = checkpointed(rows.where(picked).withColumn("part", F.pmod(F.xxhash64("id", F.lit(8)), F.lit(PARTS)).cast("int")))
+    marks = learn_from(checkpointed(rows.where(picked).withColumn("part", part_of("id"))))
+    return marks[0] if marks else None
+
+
+def part_of(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col, F.lit(8)), F.lit(PARTS)).cast("int")
+
+
+def learn_from(sample: DataFrame) -> tuple[Marks, list[dict[tuple[str, int], float]]] | None:
+    """Marks from a bounded sample (text, toxic 0 or 1, part), and for each part the marks that the other parts alone give."""
     names = [f"{kind}{part}" for part in range(PARTS) for kind in ("clean", "toxic")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +159,9 @@ def learn(df: DataFrame, id_col: str, text_col: str, toxic_col: str, max_rows: i
             found = [marks[part].strength(t) for t, part in zip(texts(batch.column(0)), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], names=["strength"])
 
+    if not held.keys() & {(part, 0) for part in range(PARTS)}:
+        return None
     scored = sample.where("toxic = 0").select("text", "part").mapInArrow(strongest, "strength double").collect()  # about max_rows / 2
     cut = sorted((r[0] for r in scored), reverse=True)[int(LOST * len(scored))]
     agreed = {f: s for f, s in agreed.items() if s > cut}
-    return Marks(agreed) if agreed else None
+    return (Marks(agreed), [{f: s for f, s in own.items() if s > cut} for own in strengths]) if agreed else None
