@@ -34,6 +34,7 @@ from stepfold.llm.common import annotate, checkpointed, texts
 
 UNKNOWN = "und"
 MAX_DOCS = 20_000
+LOST = 0.001  # share of labelled texts that a language's least score may lie above
 LEAST_SHARE = 2e-5
 LEAST_RATIO = 0.05
 HASHES = 3
@@ -136,21 +137,32 @@ class Filters:
         return [self.languages[b] if n else UNKNOWN for b, n in zip(best, counts)], score
 
 
+def _sample(rows: DataFrame, max_docs: int) -> tuple[list[str], DataFrame]:
+    """The languages by falling number of texts, and about ``max_docs`` rows (id, text, lang) spread evenly over them by a hash of the id."""
+    have = sorted(rows.groupBy("lang").count().collect(), key=lambda r: (-r["count"], r["lang"]))
+    quota = max(1, max_docs // max(1, len(have)))
+    place, picked = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)), F.lit(False)
+    for r in have:
+        picked |= (F.col("lang") == r["lang"]) & (place < F.lit(int((1 << 30) * min(1.0, quota / r["count"]))))
+    return [r["lang"] for r in have], rows.where(picked)
+
+
+def least_scores(df: DataFrame, id_col: str, text_col: str, lang_col: str, filters: Filters, max_docs: int = MAX_DOCS, lost: float = LOST) -> dict[str, float]:
+    """For each language the greatest score that no more than ``lost`` of its labelled texts stay below, from a bounded sample of
+    texts whose language is predicted as labelled."""
+    rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"), df[lang_col].alias("lang")).where("text is not null and lang is not null")
+    scored = predict(_sample(rows, max_docs)[1], "text", filters, ["lang"]).where("lang = lang_pred")
+    place = F.floor(F.count("*") * lost).cast("int")
+    return {r["lang"]: r["least"] for r in scored.groupBy("lang").agg(F.sort_array(F.collect_list("score"))[place].alias("least")).collect()}
+
+
 def learn(df: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: int = MAX_DOCS,
           least_share: float = LEAST_SHARE, least_ratio: float = LEAST_RATIO) -> Filters:
     """Filters from labelled texts. The number of languages is taken to be bounded."""
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"), df[lang_col].alias("lang")).where("text is not null and lang is not null")
-    have = sorted(rows.groupBy("lang").count().collect(), key=lambda r: (-r["count"], r["lang"]))
-    languages = [r["lang"] for r in have]
+    languages, picked = _sample(rows, max_docs)
     if not languages:
         return Filters([], [])
-    quota = max(1, max_docs // len(languages))
-    place = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30))
-    picked = None
-    for r in have:
-        own = (F.col("lang") == r["lang"]) & (place < F.lit(int((1 << 30) * min(1.0, quota / r["count"]))))
-        picked = own if picked is None else picked | own
-
     number = {lang: i for i, lang in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +176,7 @@ def learn(df: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: in
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), lang)), pa.array(keys.astype(np.int64)), pa.array(n)],
                                                      names=["lang", "gram", "n"])
 
-    counted = rows.where(picked).select("text", "lang").mapInArrow(count, "lang int, gram long, n long")
+    counted = picked.select("text", "lang").mapInArrow(count, "lang int, gram long, n long")
     sums = [F.coalesce(F.sum(F.when(F.col("lang") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in range(len(languages))]
     by_gram = checkpointed(counted.groupBy("gram").agg(*sums))
     totals = by_gram.agg(*[F.sum(f"n{i}") for i in range(len(languages))]).first()

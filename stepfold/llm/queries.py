@@ -104,6 +104,10 @@ def language_filters(docs: DataFrame) -> langid.Filters:
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+def language_least_scores(docs: DataFrame, filters: langid.Filters) -> dict[str, float]:
+    return langid.least_scores(docs.where(~held_out()), "doc_id", "text", "lang", filters)
+
+
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, "text", language_filters(docs), ["doc_id"])
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
