@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stepfold.llm.common import checkpointed, find, raw_texts, type_of, union
 from stepfold.llm.components import connected_components
@@ -72,6 +73,16 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle_words: int)
     return df.select(df[id_col].alias("id"), df[text_col].alias("text")).mapInArrow(run, f"id {type_of(df, id_col)}, fp long")
 
 
+def with_fingerprints(df: DataFrame, text_col: str, shingle_words: int, name: str) -> DataFrame:
+    """``df`` with a further column of the fingerprints of its texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = [fingerprint(shingle_hashes(t, shingle_words)) for t in raw_texts(batch.column(text_col))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, LongType())]))
+
+
 class BitPlanes:
     """Fingerprints stored as bit planes."""
 
@@ -205,13 +216,21 @@ def link_forest(nodes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, shingle_words: int, radius: int, tile: int = TILE) -> DataFrame:
-    """(id, fp, component) of every row; the component is the smallest id reachable by links."""
+    """(id, fp, component, cluster) of every row; the component is the smallest id reachable by links.
+
+    Rows are linked by their texts alone, so rows that share an id may lie in clusters of their own; the
+    cluster, the least fingerprint reachable, tells those apart where their component is the same."""
     prints = checkpointed(fingerprints(df, id_col, text_col, shingle_words))
-    nodes = checkpointed(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")))
-    found = connected_components(link_forest(nodes, radius, tile), "a", "b")
-    named = nodes.join(found, nodes.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component"))
+    nodes = checkpointed(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("least_id")))
+    found = connected_components(link_forest(nodes.select("fp", F.col("fp").alias("rep")), radius, tile), "a", "b")
+    found = found.select("node", F.col("component").alias("cluster"))
+    clusters = nodes.join(found, nodes.fp == found.node, "left").select("fp", "least_id", F.coalesce("cluster", "fp").alias("cluster"))
+    clusters = checkpointed(clusters)
+    least = clusters.groupBy("cluster").agg(F.min("least_id").alias("component"))
+    named = clusters.select("fp", "cluster").join(least, "cluster")
+    has_id = F.col("id").isNotNull()
     return prints.join(named, "fp", "left").select(
-        "id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
+        "id", "fp", F.when(has_id, F.col("component")).alias("component"), F.when(has_id, F.col("cluster")).alias("cluster"))
 
 
 def hex_digits(fp: str):
