@@ -9,8 +9,9 @@ partition key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +26,18 @@ TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\s]"
 EOD = 0
 
 
-def split_sentences(docs: DataFrame, text: str = "text", split: bool = True) -> DataFrame:
+def split_sentences(docs: DataFrame, text: str = "text", split: bool = True,
+                    splitter: Callable[[list[str]], list[list[str]]] | None = None) -> DataFrame:
     """CRP1: ``sentences`` array per document (whole text; one sentence when
-    splitting is off)."""
+    splitting is off). ``splitter`` takes the place of the rule: it gets the texts of an Arrow
+    batch and gives the sentences of each; a null text has none either way."""
     t = F.col(text)
-    sents = F.regexp_extract_all(t, F.lit(SENTENCE), 0) if split else F.array(t)
+    if split and splitter:
+        def run(texts: pd.Series) -> pd.Series:
+            return pd.Series(splitter(texts.fillna("").tolist()))
+        sents = F.pandas_udf(run, "array<string>")(t)
+    else:
+        sents = F.regexp_extract_all(t, F.lit(SENTENCE), 0) if split else F.array(t)
     return docs.withColumn("sentences", F.when(t.isNull(), F.array().cast("array<string>")).otherwise(sents))
 
 
@@ -60,17 +68,13 @@ def encode_documents(docs: DataFrame, vocab_size: int = 32000, append_eod: bool
         .drop("_kept", "_lens")
 
 
-def tokenize_with(docs: DataFrame, encode_batch, text: str = "text") -> DataFrame:
-    """Plug-in point for subword tokenizers: ``encode_batch(list[str]) ->
-    list[list[int]]`` runs in an Arrow-batched pandas UDF (the tokenizer is
-    built once per Python worker by the callable's closure)."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("array<int>")
-    def enc(s: pd.Series) -> pd.Series:
-        return pd.Series(encode_batch(s.fillna("").tolist()))
-    return docs.withColumn("tokens", enc(F.col(text)))
+def tokenize_with(docs: DataFrame, encode_batch: Callable[[list[str]], list[list[int]]], text: str = "text") -> DataFrame:
+    """Plug-in point for subword tokenizers: ``encode_batch`` gets the texts of an
+    Arrow batch and gives the ids of each, as column ``tokens``; a null text is
+    empty. A tokenizer that is built on first use in the callable is built once per Python worker."""
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(encode_batch(texts.fillna("").tolist()))
+    return docs.withColumn("tokens", F.pandas_udf(run, "array<int>")(F.col(text)))
 
 
 def partition_documents(docs: DataFrame, n: int, order: Sequence[str] = ("doc_id",)) -> DataFrame:

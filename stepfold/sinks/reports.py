@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stepfold.operators.corpus import document_sizes, merge_shards
+
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv", append: bool = False, compression: str | None = None,
                  order: Sequence[str] = ()):
@@ -65,8 +67,25 @@ def present_daily_metrics(df: DataFrame) -> DataFrame:
 
 def write_token_corpus(encoded: DataFrame, path: str, level: str = "document"):
     """SNK3: encoded documents as Parquet partitioned by key, level and shard."""
-    (encoded.withColumn("level", F.lit(level)).write.mode("overwrite")
-     .partitionBy("key", "level", "shard").parquet(path))
+    write_token_corpora({level: encoded}, path)
+
+
+def write_token_corpora(levels: dict[str, DataFrame], path: str):
+    """SNK3: the encoded documents of all levels (document, sentence) in one write,
+    as Parquet partitioned by key, level and shard. The levels have the same columns."""
+    frames = [df.withColumn("level", F.lit(level)) for level, df in levels.items()]
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    out.write.mode("overwrite").partitionBy("key", "level", "shard").parquet(path)
+
+
+def read_token_corpus(spark: SparkSession, path: str, key: str, level: str, order: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The corpus of a key and level with its shards merged in order: every document with its
+    place in the corpus (doc_index) and its first sentence and token there. Only that partition is read."""
+    docs = spark.read.parquet(path).where((F.col("key") == key) & (F.col("level") == level)).drop("key", "level")
+    places = merge_shards(document_sizes(docs, ("shard", *order)), "shard", order).drop("n_sentences", "n_tokens")
+    return docs.join(places, ["shard", *order])
 
 
 def write_merged_trace(events: DataFrame, path: str):
