@@ -53,40 +53,6 @@ def extract(c, pattern: str, group: int = 1) -> Column:
     return F.when(v == "", F.lit(None).cast("string")).otherwise(v)
 
 
-def first_number(c) -> Column:
-    """First plain decimal number of a text, as double."""
-    return to_double(F.regexp_extract(col_(c), r"([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?)", 1))
-
-
-def size_bytes(c) -> Column:
-    """'64K' / '1M' / '2G' / '123' -> bytes (binary multiples)."""
-    c = F.upper(F.trim(col_(c)))
-    num = F.regexp_extract(c, r"^([0-9]+)", 1).try_cast("long")
-    unit = F.regexp_extract(c, r"^[0-9]+\s*([KMG]?)", 1)
-    return (F.when(unit == "K", num * 1024)
-            .when(unit == "M", num * 1024 * 1024)
-            .when(unit == "G", num * 1024 * 1024 * 1024)
-            .otherwise(num))
-
-
-def size_label_key(c) -> Column:
-    """Sort key of a size label such as '64MB' -> 64."""
-    return F.regexp_extract(col_(c), r"([0-9]+)", 1).try_cast("long")
-
-
-def human_bytes(c) -> Column:
-    """Bytes as a short label with binary units (B, KB, MB, GB)."""
-    b = col_(c).cast("double")
-    return (F.when(b >= 1 << 30, F.concat(F.format_number(b / (1 << 30), 1), F.lit("GB")))
-            .when(b >= 1 << 20, F.concat(F.format_number(b / (1 << 20), 1), F.lit("MB")))
-            .when(b >= 1 << 10, F.concat(F.format_number(b / (1 << 10), 1), F.lit("KB")))
-            .otherwise(F.concat(b.cast("long").cast("string"), F.lit("B"))))
-
-
 def log_time(c) -> Column:
     """'20240101 00:00:07' -> TIMESTAMP_NTZ (1 s resolution of the logger)."""
     return F.to_timestamp_ntz(col_(c), F.lit("yyyyMMdd HH:mm:ss"))
-
-
-def round_up(c, multiple: int) -> Column:
-    return (F.ceil(col_(c) / F.lit(multiple)) * F.lit(multiple)).cast("long")

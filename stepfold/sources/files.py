@@ -78,7 +78,7 @@ def read_trace_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_file_sizes(spark: SparkSession, root: str) -> DataFrame:
     """SRC9 listing: (path, length) of every file below root; the binaryFile
-    source with only metadata columns selected never reads file contents."""
+    source with only metadata columns selected never reads file contents. Spark lists no empty files."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
             .select("path", "length"))
 
