@@ -116,7 +116,8 @@ def topology(code: Column) -> Column:
 def parse(owned: DataFrame) -> DataFrame:
     """PRJ17-19: the lines of ``own_lines`` with ``op``, ``kind`` (communication, computation or
     null), ``result``, ``op_path``, ``source``, ``payload`` and ``topology``, and what control flow names:
-    ``cond``, ``callees``, ``trips`` and ``calls``.
+    ``cond``, ``callees``, ``trips``, ``calls``, ``constant``, ``value`` and ``limit``. The text itself
+    is searched once; the fields are written, as several jobs read them.
 
     Communication is what its result calls ``<op>-start``; completions are neither kind. Computation is
     any other op that isn't control flow, the root or free of cost.
@@ -146,8 +147,9 @@ def parse(owned: DataFrame) -> DataFrame:
     detailed = (F.when(started.isNotNull(), started).when(F.col("_op") == "custom-call", _subtype(F.col("_op"), _call_target(line)))
                 .when(F.col("_op") == "fusion", _subtype(F.col("_op"), _fusion_kind(line))).otherwise(F.col("_op")))
     df = df.withColumns({"kind": kind, "op": detailed, "op_path": _found(line, r'op_name="([^"]+)"'), "source": source,
-                         "payload": payload(F.col("_right"), F.col("_op")), "topology": topology(code)})
-    return df.drop("_right", "_op")
+                         "payload": payload(F.col("_right"), F.col("_op")), "topology": topology(code),
+                         "constant": _found(code, CONSTANT), "value": _found(code, CONSTANT, 2).cast("long"), "limit": _found(code, COMPARE, 2)})
+    return written(df.drop("line", "_code", "_right", "_op"))
 
 
 def ops(parsed: DataFrame) -> DataFrame:
@@ -167,13 +169,11 @@ def communication_topology(parsed: DataFrame) -> DataFrame:
 
 def loop_limits(parsed: DataFrame) -> DataFrame:
     """(dump, cond, limit): the constant that the first comparison of a condition has on its right, not below 0."""
-    code = F.col("_code")
-    constants = (parsed.where(code.rlike(CONSTANT)).select("dump", "comp", "line_no", F.regexp_extract(code, CONSTANT, 1).alias("name"),
-                                                           F.regexp_extract(code, CONSTANT, 2).cast("long").alias("value"))
-                 .groupBy("dump", "comp", "name").agg(F.max_by("value", "line_no").alias("value")))
-    compares = (parsed.where(code.rlike(COMPARE)).select("dump", "comp", "line_no", F.regexp_extract(code, COMPARE, 2).alias("name"))
-                .groupBy("dump", "comp").agg(F.min_by("name", "line_no").alias("name")))
-    return compares.join(constants, ["dump", "comp", "name"]).select("dump", F.col("comp").alias("cond"), F.greatest("value", F.lit(0)).alias("limit"))
+    constants = (parsed.where("constant is not null").groupBy("dump", "comp", F.col("constant").alias("limit"))
+                 .agg(F.max_by("value", "line_no").alias("value")))
+    compares = parsed.where("limit is not null").groupBy("dump", "comp").agg(F.min_by("limit", "line_no").alias("limit"))
+    return (compares.join(constants, ["dump", "comp", "limit"])
+            .select("dump", F.col("comp").alias("cond"), F.greatest("value", F.lit(0)).alias("limit")))
 
 
 def call_edges(parsed: DataFrame) -> DataFrame:
