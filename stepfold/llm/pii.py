@@ -31,12 +31,16 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 ISSUED_PREFIXES = "AKIA ASIA ghp_ gho_ github_pat_ sk- sk_live_ pk_live_ xoxb- xoxp- AIza".split()
-NAME = "[A-Za-z_-][A-Za-z0-9_-]{1,23}"
+NAME = "(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]++"  # of any length, with a letter
 CANDIDATE = (rf'(?<![A-Za-z0-9_-]){NAME} ?[=:] ?"?[^\s"=:]{{8,}}+"?'
              rf"|(?<![A-Za-z0-9])(?:{'|'.join(ISSUED_PREFIXES)})[A-Za-z0-9_-]{{10,}}+"
-             r"|(?<![A-Za-z0-9])[A-Z0-9]{16,}+(?![A-Za-z0-9])"
+             r"|(?<![A-Za-z0-9])(?=[0-9]*+[A-Z])[A-Z0-9]{16,}+(?![A-Za-z0-9])"
              r"|(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[a-z0-9]*+[A-Z])(?=[A-Z0-9]*+[a-z])[A-Za-z0-9]{16,}+")
 
+# What a text must hold for an alternative of CANDIDATE to match, cheap to test.
+GATES = ["{t} RLIKE '[=:] ?\"?[^\\\\s\"=:]{8}'", *(f"contains({{t}}, '{p}')" for p in ISSUED_PREFIXES),
+         "{t} RLIKE '(?<![A-Za-z0-9])[A-Z0-9]{16}'", "{t} RLIKE '(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+(?<=[A-Za-z0-9]{16})'"]
+
 _LUHN = ("aggregate(sequence(1, length({d})), 0, (a, i) -> a + "
          "element_at(IF(i % 2 = 1, array(0, 1, 2, 3, 4, 5, 6, 7, 8, 9), array(0, 2, 4, 6, 8, 1, 3, 5, 7, 9)), "
          "ascii(substring(reverse({d}), i, 1)) - 47)) % 10 = 0")
@@ -89,14 +93,15 @@ def base_spans(df: DataFrame, text: str) -> DataFrame:
     return found.withColumns({f"base_{k}": F.expr(f"filter(_{k}, m -> {check})") for k, (_, _, check) in BASE.items()}).drop(*[f"_{k}" for k in BASE])
 
 
-def _candidates(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with candidates: (start, end, found, value, name, left), those that meet base spans left out."""
+def candidates(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with base_<kind> and candidates: (start, end, found, value, name, left), those that meet base spans left out."""
+    df = base_spans(df, text)
     met = " OR ".join(f"exists(base_{k}, b -> b.start < c.end AND c.start < b.end)" for k in BASE)
     value = rf"""regexp_replace(c.found, '^{NAME} ?[=:] ?"?|"$', '')"""
     fields = (f"named_struct('start', c.start, 'end', c.end, 'found', c.found, 'value', {value}, "
               rf"'name', lower(regexp_replace(regexp_extract(c.found, '^({NAME}) ?[=:]', 1), '[_-]?[0-9]+$', '')), "
               f"'left', lower(substring({text}, greatest(1, c.start - 23), least(24, c.start))))")
-    found = df.withColumn("_found", F.expr(find_all(text, CANDIDATE, "{t} RLIKE " + _sql(CANDIDATE))))
+    found = df.withColumn("_found", F.expr(find_all(text, CANDIDATE, " OR ".join(GATES))))
     return found.withColumn("candidates", F.expr(f"transform(filter(_found, c -> NOT ({met})), c -> {fields})")).drop("_found")
 
 
@@ -107,16 +112,17 @@ def _array(words: list[str]) -> str:
 # Labelers: SQL over a candidate c that votes 1 (personal), 0 (not) or NULL (abstains).
 LABELERS = {
     "regex_mixed": "IF(c.value RLIKE '[0-9]' AND c.value RLIKE '[A-Za-z]', 1, 0)",
-    "regex_opaque": "CASE WHEN c.value RLIKE '^[0-9a-fA-F]{12,}$' OR c.value RLIKE '^[A-Z0-9]{20}$' THEN 1 "
+    "regex_opaque": "CASE WHEN c.value RLIKE '^(?=[0-9]*+[a-fA-F])[0-9a-fA-F]{12,}$' OR c.value RLIKE '^(?=[0-9]*+[A-Z])[A-Z0-9]{20}$' THEN 1 "
                     "WHEN c.value RLIKE '[aeiouAEIOU][a-z]+[aeiouAEIOU]' AND NOT c.value RLIKE '[0-9]' THEN 0 END",
-    "gazetteer_name": f"CASE WHEN array_contains({_array(KEY_NAMES)}, c.name) THEN 1 WHEN c.name <> '' THEN 0 END",
+    "gazetteer_name": f"CASE WHEN exists({_array(KEY_NAMES)}, k -> c.name = k OR endswith(c.name, concat('_', k)) OR endswith(c.name, concat('-', k))) THEN 1 "
+                      "WHEN c.name <> '' THEN 0 END",
     "gazetteer_prefix": f"IF(exists({_array(ISSUED_PREFIXES)}, p -> startswith(c.value, p)), 1, NULL)",
     "context_cue": f"IF(exists({_array(CUES)}, w -> contains(c.left, w)), 1, NULL)",
     "context_url": "IF(c.value LIKE '//%' OR c.name LIKE 'http%' OR c.name IN ('mailto', 'ftp'), 0, NULL)",
 }
 
 # Features of a candidate c for the classifier.
-FEATURES = ("array(concat('name=', c.name), concat('prefix=', substring(c.value, 1, 4)), "
+FEATURES = ("array(concat('name=', regexp_extract(c.name, '[^_-]*$', 0)), concat('prefix=', substring(c.value, 1, 4)), "
             "concat('length=', cast(least(length(c.value), 40) div 4 as string)), "
             "concat('digits=', cast(length(regexp_replace(c.value, '[^0-9]', '')) * 4 div length(concat(c.value, '.')) as string)), "
             "concat('shape=', substring(regexp_replace(regexp_replace(regexp_replace(c.value, '[a-z]+', 'a'), '[A-Z]+', 'A'), '[0-9]+', '9'), 1, 12)), "
@@ -149,7 +155,12 @@ def estimate(patterns: list[tuple[tuple, int]], rounds: int = ROUNDS) -> tuple[f
 
 def train(df: DataFrame, text: str) -> list[float]:
     """Weights of the span classifier: by bucket, and last the bias. Empty without candidates."""
-    rows = _candidates(base_spans(df, text), text).select(F.explode("candidates").alias("c"))
+    return train_on(candidates(df, text))
+
+
+def train_on(found: DataFrame) -> list[float]:
+    """``train`` for rows that have their candidates."""
+    rows = found.select(F.explode("candidates").alias("c"))
     votes = [F.expr(sql).alias(name) for name, sql in LABELERS.items()]
     buckets = F.transform(F.expr(FEATURES), lambda f: F.pmod(F.xxhash64(f), F.lit(BUCKETS))).alias("buckets")
     voted = checkpointed(rows.select(*votes, buckets).groupBy(*LABELERS, "buckets").count())
@@ -174,15 +185,18 @@ def train(df: DataFrame, text: str) -> list[float]:
 
 def all_spans(df: DataFrame, text: str, weights: list[float]) -> DataFrame:
     """``df`` with base_<kind> and added, arrays of (start, end, found)."""
-    found = base_spans(df, text)
+    return with_added(candidates(df, text) if weights else base_spans(df, text), weights)
+
+
+def with_added(found: DataFrame, weights: list[float]) -> DataFrame:
+    """The candidates that the classifier accepts, in place of all, as column added."""
     if not weights:
-        return found.withColumn("added", F.expr("CAST(array() AS array<struct<start: int, end: int, found: string>>)"))
+        return found.drop("candidates").withColumn("added", F.expr("CAST(array() AS array<struct<start: int, end: int, found: string>>)"))
     *table, bias = weights
     array = "array(" + ", ".join(f"{w!r}D" for w in table) + ")"
     score = f"aggregate(array_distinct(transform({FEATURES}, f -> pmod(xxhash64(f), {BUCKETS}))), {bias!r}D, (a, b) -> a + element_at({array}, cast(b as int) + 1))"
     least = math.log(ACCEPT / (1 - ACCEPT))
-    return (_candidates(found, text)
-            .withColumn("added", F.expr(f"transform(filter(candidates, c -> {score} >= {least!r}D), c -> named_struct('start', c.start, 'end', c.end, 'found', c.found))"))
+    return (found.withColumn("added", F.expr(f"transform(filter(candidates, c -> {score} >= {least!r}D), c -> named_struct('start', c.start, 'end', c.end, 'found', c.found))"))
             .drop("candidates"))
 
 

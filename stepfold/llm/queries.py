@@ -88,7 +88,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pii.all_spans(docs, "text", pii.train(docs, "text"))
+    found = checkpointed(pii.candidates(docs, "text").drop("text"))  # the texts are searched once
+    found = pii.with_added(found, pii.train_on(found))
     base = {k: f"base_{k}" for k in pii.BASE}
     return found.select("doc_id", *[F.size(c).cast("long").alias(f"n_{k}") for k, c in base.items()],
                         F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined({**base, pii.ADDED: "added"}).alias("spans"))
@@ -103,11 +104,11 @@ def language_filters(docs: DataFrame) -> langid.Filters:
     return langid.learn(docs.where(~held_out()), "doc_id", "text", "lang")
 
 
-def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_least_scores(docs: DataFrame, filters: langid.Filters) -> dict[str, float]:
     return langid.least_scores(docs.where(~held_out()), "doc_id", "text", "lang", filters)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, "text", language_filters(docs), ["doc_id"])
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
