@@ -8,7 +8,9 @@ every range that its interval meets. Each range is sorted and swept once with a
 stack of the rules whose intervals are open: intervals are nested or disjoint, so
 the top of the stack is the longest rule of that host that fits.
 
-Work is done once per distinct (host, path), so repeated URLs cost one key. Among
+Work is done once per distinct (host, path), so repeated URLs cost one key, and keys are distinct before
+they are dealt: the many hosts below one suffix that share a path are one key of the sweep, and take its
+rule by a join that may be split. Among
 rules that fit, the longest (host and path together) wins, then the one with the
 longer host; of equal rules with different verdicts, the verdict last in the
 alphabet ("block") wins. URLs that no rule fits get ``default``. A null URL, or
@@ -51,8 +53,9 @@ def longest_rules(places: DataFrame, rules: DataFrame, ranges: int) -> DataFrame
              .where("rule_host is not null").groupBy("rule_host", "rule_path").agg(F.max("verdict").alias("verdict")))
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
-    keys = places.select("host", "path", F.explode(suffixes).alias("rule_host")).join(rules.select("rule_host").distinct(), "rule_host", "left_semi")
-    keys = checkpointed(keys.select(_key("rule_host", "path").alias("key"), "host", "path"))
+    pairs = places.select("host", "path", F.explode(suffixes).alias("suffix"))
+    pairs = checkpointed(pairs.join(rules.select(F.col("rule_host").alias("suffix")).distinct(), "suffix", "left_semi"))
+    keys = checkpointed(pairs.select("suffix", "path").distinct().select(_key("suffix", "path").alias("key"), F.col("suffix").alias("host"), "path"))
     some = keys.orderBy(F.xxhash64("key", "host"), "key", "host").limit(SAMPLED_KEYS * ranges).select("key").collect()
     sampled = sorted(bytes(r[0]) for r in some)
     ends = sorted({sampled[i * len(sampled) // ranges] for i in range(1, ranges)}) if sampled else []
@@ -93,6 +96,7 @@ def longest_rules(places: DataFrame, rules: DataFrame, ranges: int) -> DataFrame
 
     swept = (rows.repartition("range").sortWithinPartitions("range", "key", "url")
              .mapInArrow(sweep, "host string, path string, rule_host string, rule_path string, verdict string"))
+    swept = pairs.join(swept.withColumnRenamed("host", "suffix"), ["suffix", "path"])
     longest = F.struct((F.length("rule_host") + F.length("rule_path")).alias("n"), F.length("rule_host").alias("h"), "rule_host", "rule_path", "verdict")
     return swept.groupBy("host", "path").agg(F.max(longest).alias("r")).select("host", "path", "r.rule_host", "r.rule_path", "r.verdict")
 
