@@ -10,13 +10,28 @@ from pyspark.sql import functions as F
 from stepfold.operators.corpus import document_sizes, merge_shards
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv", append: bool = False, compression: str | None = None,
-                 order: Sequence[str] = ()):
-    """SNK1: table to csv / tsv / jsonl (optionally compressed), header once.
-    Distributed write (one file per partition); Markdown is ``to_markdown``.
+def _by_extension(path: str) -> tuple[str, str | None]:
+    """Format and compression that a path's extension names; Markdown if it names none."""
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower()
+    packed = name.endswith(".gz")
+    end = name.removesuffix(".gz").rsplit(".", 1)[-1]
+    return (end if end in ("csv", "tsv", "jsonl", "json") else "md"), "gzip" if packed else None
+
+
+def write_report(df: DataFrame, path: str, fmt: str | None = None, append: bool = False, compression: str | None = None,
+                 order: Sequence[str] = (), preamble: str | None = None):
+    """SNK1: table to csv / tsv / jsonl, with ``.gz`` compressed, by the path's extension unless ``fmt``
+    names the format; any other extension is Markdown, with a preamble if given. Header once for each file.
+    Distributed write (one file per partition), but Markdown, which is ``to_markdown``'s bounded text.
     SRT1: with ``order`` the rows are sorted over all files, in file order."""
+    found, packed = _by_extension(path)
+    fmt, compression = fmt or found, compression or packed
     mode = "append" if append else "overwrite"
-    df = df.orderBy(*order) if order else df
+    if fmt == "md":
+        text = to_markdown(df, preamble=preamble, order=order).removesuffix("\n")
+        df = df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1)
+    elif order:
+        df = df.orderBy(*order)
     w = df.write.mode(mode)
     if compression:
         w = w.option("compression", compression)
@@ -24,6 +39,8 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", append: bool = Fals
         w.option("header", "true").option("sep", "," if fmt == "csv" else "\t").csv(path)
     elif fmt in ("jsonl", "json"):
         w.json(path)
+    elif fmt == "md":
+        w.text(path)
     else:
         raise ValueError(f"unsupported format {fmt}")
 
