@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from stepfold.llm.common import texts, type_of
 
 MAX_STATES = 150_000  # deterministic states kept before the transducer starts afresh
-MAX_REMEMBERED = 400_000  # word encodings kept before that table starts afresh
+MAX_REMEMBERED = 300_000  # words whose encodings a table keeps before it starts afresh
 LONGEST_REMEMBERED = 64  # characters of the longest word kept
 DECODE_IDS = 65_536  # ids decoded at a time
 
@@ -211,15 +211,20 @@ class Encoder:
 
 
 class _Words(dict):
-    """Packed ids of words (a space and what follows it up to the next), worked out on first use."""
+    """Packed ids of words (a space and what follows it up to the next) or matches, worked out on first use. When
+    it is full it starts afresh, but the words of the full table are still known until it is full again, so
+    common words are never worked out anew."""
 
     def __init__(self, encode_part: Callable[[str], bytes]):
-        self.encode_part = encode_part
+        self.encode_part, self._before = encode_part, {}
 
     def __missing__(self, word: str) -> bytes:
-        packed = self.encode_part(word)
+        packed = self._before.get(word)
+        if packed is None:
+            packed = self.encode_part(word)
         if len(word) <= LONGEST_REMEMBERED:
             if len(self) >= MAX_REMEMBERED:
+                self._before = dict(self)
                 self.clear()
             self[word] = packed
         return packed
