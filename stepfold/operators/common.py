@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,30 +127,67 @@ def global_last(df: DataFrame, order: Sequence[str], group: Sequence[str], value
         "_bucket", "_value", "_b", "_base", "_local", *[f"_g{i}" for i in range(len(group))])
 
 
+VALUE_BINS = 1024  # ranges of values that ranks are first sought in
+FEW_ROWS = 100_000  # measured tables up to this number of rows are broadcast
+
+
+def few(df: DataFrame) -> DataFrame:
+    """``df`` (cheap to read twice) to be broadcast in a join if it has at most FEW_ROWS rows, else as it is."""
+    return F.broadcast(df) if df.limit(FEW_ROWS + 1).count() <= FEW_ROWS else df
+
+
+def _value_bins(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Adds the number of the range of values that a row falls in, rising with the value (null for null, NaN last). The ends are
+    literals near the value's quantiles over all rows, so a range of several values holds about 1 / VALUE_BINS of the rows."""
+    near = F.percentile_approx(F.col(value).cast("double"), [i / VALUE_BINS for i in range(1, VALUE_BINS)], 10 * VALUE_BINS)
+    ends = df.agg(near).first()[0] or []
+    ends = sorted({e + 0.0 for e in ends if math.isfinite(e)})
+    bins = Bucketizer(splits=[-math.inf, *(ends or [0.0]), math.inf], inputCol="_value", outputCol=out, handleInvalid="keep")
+    return bins.transform(df.withColumn("_value", F.col(value).cast("double") + F.lit(0.0))).drop("_value")
+
+
+def values_at(df: DataFrame, group: Sequence[str], value: str, places: dict[str, Column]) -> DataFrame:
+    """Per group (group, _total, least, largest, places): how many values aren't null, the least and largest, and the values at the
+    given 0-based places of the group's sorted values; ``places`` are columns over ``_total``.
+
+    All rows are counted by (group, range of values) before the shuffle, and only rows of the ranges that hold a
+    place are looked at again, so no group is sorted whole. ``df`` is read three times: give dear rows written."""
+    rows = _value_bins(df.select(*group, value), value, "_bin")
+    inside = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    counted = rows.groupBy(*group, "_bin").agg(F.count(value).alias("_n"), F.min(value).alias("_min"), F.max(value).alias("_max"))
+    one = Window.partitionBy(*group)
+    before = one.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    counted = written(counted.withColumns({"_total": F.sum("_n").over(one), "_before": F.coalesce(F.sum("_n").over(before), F.lit(0))}))
+
+    def here(place: Column) -> Column:
+        return (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
+
+    wanted = F.lit(False)
+    for place in places.values():
+        wanted = wanted | here(place)
+    several = counted.where(wanted & (F.col("_min") != F.col("_max"))).select(
+        *keys, F.col("_bin").alias("_b"), F.col("_before").alias("_base"), "_total")
+    same = F.col("_bin") == F.col("_b")
+    for x in inside:
+        same = same & x
+    looked = rows.join(few(several), same).groupBy(*group, "_bin", "_base", "_total", value).agg(F.count(value).alias("_n"))
+    order = Window.partitionBy(*group, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    looked = looked.select(*group, "_total", (F.col("_base") + F.coalesce(F.sum("_n").over(order), F.lit(0))).alias("_before"), "_n",
+                           F.col(value).alias("_value"), F.col(value).alias("_min"), F.col(value).alias("_max"))
+    known = counted.select(*group, "_total", "_before", "_n", F.when(F.col("_min") == F.col("_max"), F.col("_min")).alias("_value"), "_min", "_max")
+    picks = [F.max(F.when(here(place), F.col("_value"))).alias(name) for name, place in places.items()]
+    return known.unionByName(looked).groupBy(*group).agg(
+        F.max("_total").alias("_total"), F.min("_min").alias("least"), F.max("_max").alias("largest"), *picks)
+
+
 def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: Sequence[float], out: str = "q") -> DataFrame:
     """``percentile`` of each share (linear between the two nearest ranks) with the
     least and largest value, per group, as (group, out array, least, largest).
 
-    Equal values are counted before the shuffle and ranked range by range, so a
-    hot group is spread over tasks; a group without values has nulls."""
-    counts = written(df.groupBy(*group, value).agg(F.count(value).alias("_n")))
-    ranked = global_running(counts, [value], group, {"_before": F.sum("_n")})
-    totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total")).select(
-        *[F.col(g).alias(f"_t{i}") for i, g in enumerate(group)], "_total")
-    same = F.lit(True)
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_t{i}"))
-    placed = ranked.join(totals, same)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n")), F.col(value)))
-
-    picks = []
-    for i, share in enumerate(shares):
-        place = (F.col("_total") - 1) * F.lit(float(share))
-        picks += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}"), F.max(place).alias(f"_p{i}")]
-    found = placed.groupBy(*group).agg(F.min(value).alias("least"), F.max(value).alias("largest"), *picks)
+    Ranks are sought by ``values_at``, so a hot group is spread over tasks; a group without values has nulls."""
+    place = [(F.col("_total") - 1) * F.lit(float(share)) for share in shares]
+    found = values_at(df, group, value, {f"_{end}{i}": f(p) for i, p in enumerate(place) for end, f in (("lo", F.floor), ("hi", F.ceil))})
     q = [F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(
-        (F.ceil(f"_p{i}") - F.col(f"_p{i}")) * F.col(f"_lo{i}") + (F.col(f"_p{i}") - F.floor(f"_p{i}")) * F.col(f"_hi{i}"))
-        for i in range(len(shares))]
+        (F.ceil(p) - p) * F.col(f"_lo{i}") + (p - F.floor(p)) * F.col(f"_hi{i}")) for i, p in enumerate(place)]
     return found.select(*group, F.array(*q).alias(out), "least", "largest")
