@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepfold.operators.common import exact_percentiles, first_k
+from stepfold.operators.common import exact_percentiles, first_k, written
 
 CASE = ["op", "bytes", "dtype", "repeat"]
 
@@ -56,7 +56,7 @@ def critical_path(times: DataFrame) -> DataFrame:
 
 def latency_percentiles(times: DataFrame, world: int) -> DataFrame:
     """AGG10: p50/p95/min/max of the critical path, effective GB/s from p50."""
-    cp = critical_path(times)
+    cp = written(critical_path(times))
     out = exact_percentiles(cp, CASE, "latency_ms", (0.5, 0.95)).withColumnsRenamed({"least": "tmin", "largest": "tmax"})
     p50 = F.col("q")[0]
     return out.select(*CASE, p50.alias("p50"), F.col("q")[1].alias("p95"), "tmin", "tmax",
