@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepfold.llm.common import annotate, checkpointed, texts
+from stepfold.operators.common import values_at
 
 UNKNOWN = "und"
 MAX_DOCS = 20_000
@@ -147,13 +148,13 @@ def _sample(rows: DataFrame, max_docs: int) -> tuple[list[str], DataFrame]:
     return [r["lang"] for r in have], rows.where(picked)
 
 
-def least_scores(df: DataFrame, id_col: str, text_col: str, lang_col: str, filters: Filters, max_docs: int = MAX_DOCS, lost: float = LOST) -> dict[str, float]:
-    """For each language the greatest score that no more than ``lost`` of its labelled texts stay below, from a bounded sample of
-    texts whose language is predicted as labelled."""
-    rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"), df[lang_col].alias("lang")).where("text is not null and lang is not null")
-    scored = predict(_sample(rows, max_docs)[1], "text", filters, ["lang"]).where("lang = lang_pred")
-    place = F.floor(F.count("*") * lost).cast("int")
-    return {r["lang"]: r["least"] for r in scored.groupBy("lang").agg(F.sort_array(F.collect_list("score"))[place].alias("least")).collect()}
+def least_scores(df: DataFrame, text_col: str, lang_col: str, filters: Filters, lost: float = LOST) -> dict[str, float]:
+    """For each language the greatest score that no more than ``lost`` of its labelled texts stay below, from all texts whose
+    language is predicted as labelled."""
+    rows = df.select(df[text_col].alias("text"), df[lang_col].alias("lang")).where("text is not null and lang is not null")
+    scored = checkpointed(predict(rows, "text", filters, ["lang"]).where("lang = lang_pred").select("lang", "score"))
+    found = values_at(scored, ["lang"], "score", {"least_score": F.floor(F.col("_total") * lost)})
+    return {r["lang"]: r["least_score"] for r in found.collect()}
 
 
 def learn(df: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: int = MAX_DOCS,

@@ -105,7 +105,7 @@ def language_filters(docs: DataFrame) -> langid.Filters:
 
 
 def language_least_scores(docs: DataFrame, filters: langid.Filters) -> dict[str, float]:
-    return langid.least_scores(docs.where(~held_out()), "doc_id", "text", "lang", filters)
+    return langid.least_scores(docs.where(~held_out()), "text", "lang", filters)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
