@@ -15,18 +15,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepfold.operators.common import global_index, global_last, global_running, written
+from stepfold.operators.common import few, global_last, range_buckets, written
 
 
 def _segments(df: DataFrame, key: Sequence[str], order: Sequence[str], iter_col: str, skip: int,
               reset: int) -> DataFrame:
-    """Adds the segment and the block of each row. Segment numbers and places in a
-    segment are counted range by range, so one long run is spread over tasks."""
-    start = F.coalesce((F.col(iter_col) == skip + 1).cast("long"), F.lit(0))
-    df = global_running(df.withColumn("_start", start), order, key, {"_earlier": F.sum("_start")})
-    df = df.withColumn("_seg", F.col("_earlier") + F.col("_start"))
-    df = global_index(df, order, "_at", [*key, "_seg"])
-    return df.withColumn("_block", F.floor(F.col("_at") / reset)).drop("_start", "_earlier", "_at")
+    """Adds the segment and the block of each row. Rows and starts are counted range by range and shifted by those of the
+    ranges before, so one long run is spread over tasks."""
+    start = F.coalesce(F.col(iter_col) == skip + 1, F.lit(False))
+    w = Window.partitionBy(*key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = range_buckets(df.withColumn("_start", start), [*key, *order], "_bucket")
+    rows = rows.withColumns({"_row": F.count(F.lit(1)).over(w) - 1, "_starts": F.count_if("_start").over(w)})
+    rows = written(rows.withColumn("_last", F.max(F.when(F.col("_start"), F.col("_row"))).over(w)))
+    ranges = rows.groupBy(*key, "_bucket").agg((F.max("_row") + 1).alias("_n"), F.max("_starts").alias("_s"), F.max("_last").alias("_l"))
+    before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumns({"_rows0": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_starts0": F.coalesce(F.sum("_s").over(before), F.lit(0))})
+    ranges = written(ranges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], F.col("_bucket").alias("_b"), "_rows0", "_starts0",
+                                   F.last(F.col("_rows0") + F.col("_l"), ignorenulls=True).over(before).alias("_last0")))
+    same = F.col("_bucket") == F.col("_b")
+    for i, k in enumerate(key):  # null keys are keys too
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    at = F.col("_rows0") + F.col("_row") - F.coalesce(F.col("_rows0") + F.col("_last"), F.col("_last0"), F.lit(0))
+    return rows.join(few(ranges), same).withColumns({"_seg": F.col("_starts0") + F.col("_starts"), "_block": F.floor(at / reset)}).drop(
+        "_start", "_bucket", "_row", "_starts", "_last", "_b", "_rows0", "_starts0", "_last0", *[f"_k{i}" for i in range(len(key))])
 
 
 def running_averages(steps: DataFrame, metrics: Sequence[str], key: Sequence[str] = ("path",),
