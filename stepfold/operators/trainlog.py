@@ -36,6 +36,12 @@ COMPLETION_MARKER = "Training completed."
 SEPARATOR = "\u0001"  # does not occur in log text
 
 
+def _once(lines: DataFrame, **columns: Column) -> DataFrame:
+    """(path, line_no) and the given columns, each worked out once a line: no filter or projection after the
+    generator repeats its expression, or that which renders the line."""
+    return lines.select("path", "line_no", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def _parsed(lines: DataFrame, pattern: str, names_casts: list[tuple[str, str]]) -> DataFrame:
     """(path, line_no, groups) of the lines that match. One search gives all
     groups: the line is replaced by them, and a line without a match stays one part."""
@@ -43,7 +49,7 @@ def _parsed(lines: DataFrame, pattern: str, names_casts: list[tuple[str, str]])
     groups = SEPARATOR.join(f"${i}" for i in range(1, n + 1))
     parts = F.split(F.regexp_replace("line", f"^.*?{pattern}.*$", groups), SEPARATOR)
     conv = {"long": to_long, "int": to_int, "double": to_double, "num": comma_number}
-    return (lines.select("path", "line_no", parts.alias("_g")).filter(F.size("_g") == n)
+    return (_once(lines, _g=parts).filter(F.size("_g") == n)
             .select("path", "line_no", *[conv[kind](F.get("_g", F.lit(i))).alias(name)
                                          for i, (name, kind) in enumerate(names_casts)]))
 
@@ -217,33 +223,27 @@ def parse_inst_avg_steps(lines: DataFrame) -> DataFrame:
     (so the segment order of the two layouts does not matter). Line-scoped."""
     pair = r"\):\s*([\d.]+)(?:/([\d.]+))?"
 
-    def seg(words: str, pattern: str) -> Column:
-        """The segment's text from the first match of ``pattern`` on; segments without ``words`` aren't searched."""
-        held = F.filter("_segments", lambda s: s.contains(words) & s.rlike(pattern))
-        return F.regexp_extract(F.get(held, F.lit(0)), pattern + ".*", 0)
-
-    el = seg("elapsed time per iteration", r"elapsed time per iteration\s*\(ms\)")
-    th, tk = seg("throughput per GPU", r"throughput per GPU\s*\(TFLOP/s/GPU\)"), seg("tokens per GPU", r"tokens per GPU\s*\(tokens/s/GPU\)")
-    hip = seg("hip mem usage", r"hip mem usage/free/total/usage_ratio:")
-    mem_re = (r":\s*([\d.]+)\s*G(?:i)?B/([\d.]+)\s*G(?:i)?B/([\d.]+)\s*G(?:i)?B/([\d.]+)%")
-    old = F.regexp_extract(seg("mem usages:", r"mem usages:\s*[\d.]"), r"mem usages:\s*([\d.]+)", 1)
-    return (lines.select("path", "line_no", strip_ansi("line").alias("line"))
+    def seg(pattern: str) -> Column:
+        """The text from the first match of ``pattern`` to the end of its segment (or of the line of text)."""
+        return F.regexp_extract("line", pattern + r"[^|\n\r\u0085\u2028\u2029]*", 0)
+
+    mem = r":\s*([\d.]+)\s*G(?:i)?B/([\d.]+)\s*G(?:i)?B/([\d.]+)\s*G(?:i)?B/([\d.]+)%"
+    kept = (_once(lines, line=strip_ansi("line"))
             .filter(F.col("line").contains("elapsed time per iteration"))  # before any search
             .filter(F.col("line").rlike(r"iteration\s+\d+\s*/\s*\d+") &
-                    F.col("line").rlike(r"elapsed time per iteration\s*\(ms\):\s*[\d.]+"))
-            .withColumn("_segments", F.split("line", r"\|"))
-            .select("path", "line_no",
-                    to_long(F.regexp_extract("line", r"iteration\s+(\d+)\s*/", 1)).alias("iter"),
-                    to_double(F.regexp_extract(el, pair, 1)).alias("elapsed_ms"),
-                    to_double(F.regexp_extract(el, pair, 2)).alias("elapsed_ms_avg"),
-                    to_double(F.regexp_extract(th, pair, 1)).alias("tflops"),
-                    to_double(F.regexp_extract(th, pair, 2)).alias("tflops_avg"),
-                    to_double(F.regexp_extract(tk, pair, 1)).alias("tokens"),
-                    to_double(F.regexp_extract(tk, pair, 2)).alias("tokens_avg"),
-                    F.coalesce(to_double(F.regexp_extract(hip, mem_re, 1)), to_double(old)).alias("mem_used_gb"),
-                    to_double(F.regexp_extract(hip, mem_re, 2)).alias("mem_free_gb"),
-                    to_double(F.regexp_extract(hip, mem_re, 3)).alias("mem_total_gb"),
-                    to_double(F.regexp_extract(hip, mem_re, 4)).alias("mem_ratio_pct")))
+                    F.col("line").rlike(r"elapsed time per iteration\s*\(ms\):\s*[\d.]+")))
+    parts = _once(kept, it=F.regexp_extract("line", r"iteration\s+(\d+)\s*/", 1), old=F.regexp_extract("line", r"mem usages:\s*([\d.]+)", 1),
+                  el=seg(r"elapsed time per iteration\s*\(ms\)"), th=seg(r"throughput per GPU\s*\(TFLOP/s/GPU\)"),
+                  tk=seg(r"tokens per GPU\s*\(tokens/s/GPU\)"), hip=seg(r"hip mem usage/free/total/usage_ratio:"))
+    texts = _once(parts, it=F.col("it"), old=F.col("old"), **{f"{c}{i}": F.regexp_extract(c, pair, i) for c in ("el", "th", "tk") for i in (1, 2)},
+                  **{f"hip{i}": F.regexp_extract("hip", mem, i) for i in (1, 2, 3, 4)})
+    return texts.select("path", "line_no", to_long("it").alias("iter"),
+                        to_double("el1").alias("elapsed_ms"), to_double("el2").alias("elapsed_ms_avg"),
+                        to_double("th1").alias("tflops"), to_double("th2").alias("tflops_avg"),
+                        to_double("tk1").alias("tokens"), to_double("tk2").alias("tokens_avg"),
+                        F.coalesce(to_double("hip1"), to_double("old")).alias("mem_used_gb"),
+                        to_double("hip2").alias("mem_free_gb"), to_double("hip3").alias("mem_total_gb"),
+                        to_double("hip4").alias("mem_ratio_pct"))
 
 
 # ---------------------------------------------------------------- AGG3-AGG7
