@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepfold.functions.text import comma_number, extract, strip_ansi, to_double, to_int, to_long
-from stepfold.operators.common import first_k
+from stepfold.operators.common import first_k, written
 
 # Fixed patterns that must equal the reference's log layouts.
 NUM = r"[\d,]+(?:\.\d+)?"
@@ -89,8 +89,8 @@ def _warm_dropped_means(steps: DataFrame, order: list[str], metrics: list[str],
 
 def megatron_averages(steps: DataFrame) -> DataFrame:
     """AGG1: per file, sort by iteration, drop the first two rows, means."""
-    return _warm_dropped_means(steps, ["iter", "line_no"], ["elapsed_ms", "tflops_gpu", "tokens_gpu"],
-                               ["gbs"])
+    metrics = ["elapsed_ms", "tflops_gpu", "tokens_gpu"]
+    return _warm_dropped_means(written(steps.select("path", "line_no", "iter", *metrics, "gbs")), ["iter", "line_no"], metrics, ["gbs"])
 
 
 # ---------------------------------------------------------------- PRJ2
@@ -195,8 +195,8 @@ def titan_config(lines: DataFrame) -> DataFrame:
 def titan_averages(steps: DataFrame) -> DataFrame:
     """AGG2: per file, sort by step, drop the first two rows, means; config joined."""
     metrics = ["memory_gib", "tps", "tflops", "mfu"]
-    out = _warm_dropped_means(steps.select("path", "line_no", "step", *metrics), ["step", "line_no"],
-                              metrics, [])
+    steps = written(steps.select("path", "line_no", "step", *metrics, "local_batch_size", "seq_len"))  # lines are searched once
+    out = _warm_dropped_means(steps, ["step", "line_no"], metrics, [])
     cfg = steps.groupBy("path").agg(F.max("local_batch_size").alias("local_batch_size"), F.max("seq_len").alias("seq_len"))
     return out.join(cfg, "path", "left")
 
